@@ -1,0 +1,4 @@
+"""Registered queries; importing the package registers all of them."""
+
+from carespan.queries import claims, sources  # noqa: F401
+from carespan.queries.registry import QUERIES, oracle_sql  # noqa: F401

@@ -20,6 +20,7 @@ def build_session(app: str = "carespan", cpus: int | None = None) -> SparkSessio
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("CARESPAN_DRIVER_MEMORY", "12g"))
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.shuffle.partitions", str(partitions))

@@ -33,10 +33,13 @@ def read_extract(spark: SparkSession, path: str, layout: Layout) -> DataFrame:
 def fixed_width_lines(rows: DataFrame, layout: Layout) -> DataFrame:
     """Inverse of the scan: one ``value`` column of exactly ``layout.width`` characters.
 
-    Text and dates are left-aligned, numbers right-aligned, NULLs blank.
+    Text and dates are left-aligned, numbers right-aligned without empty decimals, NULLs blank.
     """
     cells = []
     for f in layout.fields:
         text = F.coalesce(F.col(f.name).cast("string"), F.lit(""))
-        cells.append(F.lpad(text, f.width, " ") if f.kind == "n" else F.rpad(text, f.width, " "))
+        if f.kind == "n":
+            cells.append(F.lpad(F.regexp_replace(text, r"\.0+$", ""), f.width, " "))
+        else:
+            cells.append(F.rpad(text, f.width, " "))
     return rows.select(F.concat(*cells).alias("value"))

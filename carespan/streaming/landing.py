@@ -1,6 +1,6 @@
 """Incremental landing of extract folders.
 
-The reference workload has no streaming operators. The fixed-width parse is a
+The batch workload needs no streaming operators. The fixed-width parse is a
 stateless projection, so the same function can pick up new extract files
 through a file stream; each file is taken once, tracked by the checkpoint.
 """
