@@ -24,13 +24,16 @@ def summarize(rows: DataFrame, keys: Sequence[str], *aggregates) -> DataFrame:
     return rows.groupBy(*keys).agg(*aggregates, F.count(F.lit(1)).alias("_rows"))
 
 
-def attach_summary(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
+def attach_summary(
+    rows: DataFrame, summary: DataFrame, keys: Sequence[str], counted: DataFrame | None = None
+) -> DataFrame:
     """Left join ``summary`` (one row per key, with ``_rows``) onto ``rows``.
 
-    Rows with a NULL in a key get NULLs, as in any left join.
+    ``counted`` is the frame ``_rows`` was counted on, ``rows`` unless given; only
+    its size is used. Rows with a NULL in a key get NULLs, as in any left join.
     """
     values = [c for c in summary.columns if c not in keys and c != "_rows"]
-    total = summary.agg(F.sum("_rows").alias("n")).scalar()
+    total = (rows if counted is None else counted).agg(F.count(F.lit(1)).alias("n")).scalar()
     hot = summary.where(F.col("_rows") * HOT_SHARE >= total).select(
         *keys, *[F.col(c).alias(f"_hot_{c}") for c in values], F.lit(True).alias("_hot")
     )

@@ -98,42 +98,48 @@ def ip_procedure_count(claims: DataFrame, procedures: DataFrame) -> DataFrame:
 
 
 def document_summary(lines: DataFrame) -> DataFrame:
-    """Per (document, rejection status): last line of it, and of the whole document the
-    last line and the length of stay."""
+    """Per document: last line of it and of each rejection status, and the length of stay."""
     by_status = summarize(
         lines,
         [*DOCUMENT_KEY, "RejectionStatusCd"],
-        F.max("ServiceLineNbr").alias("_last_of_status"),
+        F.max("ServiceLineNbr").alias("_last"),
         F.min("ServiceFromDt").alias("_from"),
         F.max("ServiceThruDt").alias("_thru"),
     )
-    by_document = by_status.groupBy(*DOCUMENT_KEY).agg(
-        F.max("_last_of_status").alias("_last_of_document"),
+    entry = F.when(F.col("RejectionStatusCd").isNotNull(), F.struct("RejectionStatusCd", "_last"))
+    return by_status.groupBy(*DOCUMENT_KEY).agg(
+        F.max("_last").alias("_last_of_document"),
+        F.map_from_entries(F.collect_list(entry)).alias("_last_of_status"),
         (F.datediff(F.max("_thru"), F.min("_from")) + 1).alias("_stay"),
+        F.sum("_rows").alias("_rows"),
     )
-    return by_status.drop("_from", "_thru").join(by_document, DOCUMENT_KEY, "left")
 
 
 def ip_visit_encounter_days(lines: DataFrame) -> DataFrame:
     """Visit and Encounter on the last line per status, inpatient days on the last line of all."""
-    with_summary = attach_summary(lines, document_summary(lines), [*DOCUMENT_KEY, "RejectionStatusCd"])
-    is_last = (F.col("ServiceLineNbr") == F.col("_last_of_status")).cast("int")
+    with_summary = attach_summary(lines, document_summary(lines), DOCUMENT_KEY)
+    last = F.try_element_at("_last_of_status", F.col("RejectionStatusCd"))
+    is_last = F.coalesce((F.col("ServiceLineNbr") == last).cast("int"), F.lit(0))
     days = F.when(F.col("ServiceLineNbr") == F.col("_last_of_document"), F.col("_stay"))
     return with_summary.select(
         *lines.columns,
-        F.coalesce(is_last, F.lit(0)).alias("Visit"),
-        F.coalesce(is_last, F.lit(0)).alias("Encounter"),
+        is_last.alias("Visit"),
+        is_last.alias("Encounter"),
         F.coalesce(days, F.lit(0)).alias("Visit_Inpatient_Days"),
     )
 
 
-def ip_categories(claims: DataFrame, institutional: DataFrame, revenue: DataFrame) -> DataFrame:
-    """Categories and service count of inpatient claims."""
-    ip = claim_key_inner(record_type_split(claims, "I"), institutional.select(*CLAIM_KEY, "UBTypeofBillCd"))
+def ip_lines(claims: DataFrame, institutional: DataFrame) -> DataFrame:
+    bill_types = institutional.select(*CLAIM_KEY, "UBTypeofBillCd")
+    return claim_key_inner(record_type_split(claims, "I"), bill_types)
+
+
+def ip_categories(lines: DataFrame, revenue: DataFrame) -> DataFrame:
+    """Categories and service count of inpatient lines that carry their bill type."""
     category2 = bill_type_category(F.col("UBTypeofBillCd").cast("int"))
     category3 = F.when(F.col("_emergency"), "EMERGENCY_IP").otherwise(F.concat("Category2", F.lit("_IP")))
     return (
-        claim_key_left(ip, _ip_revenue_summary(revenue))
+        claim_key_left(lines, _ip_revenue_summary(revenue))
         .withColumns(
             {
                 "Category1": F.lit("INPATIENT"),
@@ -148,8 +154,10 @@ def ip_categories(claims: DataFrame, institutional: DataFrame, revenue: DataFram
 
 
 def ip_categorize(claims: DataFrame, institutional: DataFrame, revenue: DataFrame, procedures: DataFrame) -> DataFrame:
-    coded = ip_procedure_count(ip_categories(claims, institutional, revenue), procedures)
-    return ip_visit_encounter_days(coded).select(*claims.columns, *CATEGORY_COLUMNS, *COUNT_COLUMNS)
+    # Document summaries need the bare lines only, so they come before the detail joins.
+    flagged = ip_visit_encounter_days(ip_lines(claims, institutional))
+    coded = ip_procedure_count(ip_categories(flagged, revenue), procedures)
+    return coded.select(*claims.columns, *CATEGORY_COLUMNS, *COUNT_COLUMNS)
 
 
 def hcpcs_overrides(rules: DataFrame) -> DataFrame:
@@ -229,8 +237,10 @@ def op_categorize(claims: DataFrame, revenue: DataFrame, rules: DataFrame) -> Da
     best = best_rank_per_claim(op_candidates(lines, rules), "RevenueCd", "RevenueHCPCSCd")
     op = claim_key_inner(record_type_split(claims, "O"), best)
     counts = op_service_count(lines)
-    sized = summarize(op, DOCUMENT_KEY).join(counts, DOCUMENT_KEY, "left")
-    counted = attach_summary(op, sized, DOCUMENT_KEY).fillna(0, ["Service_Count"])
+    # Line counts come from the claims alone; they only decide which documents are hot.
+    outpatient = record_type_split(claims, "O")
+    sized = summarize(outpatient, DOCUMENT_KEY).join(counts, DOCUMENT_KEY, "left")
+    counted = attach_summary(op, sized, DOCUMENT_KEY, outpatient).fillna(0, ["Service_Count"])
     return op_constants(counted).select(*claims.columns, *CATEGORY_COLUMNS, *COUNT_COLUMNS)
 
 
@@ -247,9 +257,9 @@ def nips_candidates(claims: DataFrame, nips: DataFrame, procedures: DataFrame, r
     claim whose rules all name other places has no candidate and vanishes.
     """
     rule_set = rules.where(F.col("Category1") == "NIPS")
-    # Distinct (claim, place) and (claim, rule) pairs: both few per claim however many lines it has.
+    # One row per (claim, place) and (claim, rule place): few per claim however many lines it has.
     places = nips.groupBy(*CLAIM_KEY, "PlaceOfServiceCd").agg(F.lit(1).alias("_seen")).drop("_seen")
-    ruled = rule_join_proc(procedures.select(*CLAIM_KEY, "ProcCd").distinct(), rule_set)
+    ruled = rule_join_proc(procedures.select(*CLAIM_KEY, "ProcCd"), rule_set)
     ruled = ruled.groupBy(*CLAIM_KEY, "Rule_Place").agg(
         F.min(
             F.struct(

@@ -132,18 +132,18 @@ def risk_all_releases(
     """Tier code per release, their total, and the code pattern without the latest release.
 
     A tier is 0 where the patient has no inpatient or emergency line in that
-    release's lookback. Release dates reach every row as one scalar array (a
-    release a month), so patients are never multiplied by releases.
+    release's lookback. Release dates reach the daily rows as one scalar array
+    (a release a month); they are exploded and filtered in place, without a shuffle.
     """
     dates = releases.agg(
         F.collect_list(F.struct("ReleaseNum", F.col("HFS_Release_Date").alias("at")))
     ).scalar()
-    open_releases = F.filter(
-        dates,
-        lambda r: F.col("ServiceFromDt").between(add_calendar_months(r["at"], -LOOKBACK_MONTHS), r["at"]),
+    in_lookback = F.col("ServiceFromDt").between(
+        add_calendar_months(F.col("r.at"), -LOOKBACK_MONTHS), F.col("r.at")
     )
     per_release = (
-        daily.withColumn("r", F.explode(open_releases))
+        daily.withColumn("r", F.explode(dates))
+        .where(in_lookback)
         .groupBy("RecipientID", F.col("r.ReleaseNum").alias("ReleaseNum"))
         .agg(F.sum("ED").alias("ED"), F.sum("IP").alias("IP"))
         .select("RecipientID", "ReleaseNum", risk_tier(F.col("ED"), F.col("IP"), RELEASE_TIERS).cast("int").alias("Tier"))

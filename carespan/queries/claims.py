@@ -113,6 +113,11 @@ LEFT JOIN in_summary_map m USING (Category1, Category2, Category3)
 
 
 def categorized(t: Inputs) -> DataFrame:
+    """Categorized claims as published: staged once, read by every analysis after it."""
+    return t.stage("categorized", lambda: categorize(t))
+
+
+def categorize(t: Inputs) -> DataFrame:
     return cat.categorize_claims(
         t.in_claims, t.in_institutional, t.in_revenue, t.in_procedure, t.in_nips, t.in_bill_rules, t.in_summary_map
     )
@@ -384,7 +389,7 @@ PUBLISHED_OUT = (
 
 @register("claims_categorized", PUBLISHED_OUT, "SELECT * FROM ref_categorized")
 def _claims_categorized(t: Inputs) -> DataFrame:
-    return cat.claims_categorized(categorized(t))
+    return cat.claims_categorized(categorize(t))
 
 
 @register(
