@@ -19,7 +19,10 @@ def cost_window(costs: DataFrame, patients: DataFrame) -> DataFrame:
 
 
 def category_levels(costs: DataFrame) -> DataFrame:
-    """One row per cost and level: summary, c1, c1_c2, c1_c2_c3 as (Category_Type, Category)."""
+    """One row per cost and level: summary, c1, c1_c2, c1_c2_c3 as (Category_Type, Category).
+
+    Category is NULL where a cost has no category at that level.
+    """
     values = {
         "Summary_Category": F.col("Summary_Category"),
         "Category1": F.col("Category1"),
@@ -30,7 +33,7 @@ def category_levels(costs: DataFrame) -> DataFrame:
         *[F.struct(F.lit(k).alias("Category_Type"), v.alias("Category")) for k, v in values.items()]
     )
     kept = [c for c in costs.columns if c not in CATEGORY_LEVELS]
-    return costs.select(*kept, F.inline(levels)).where(F.col("Category").isNotNull())
+    return costs.select(*kept, F.inline(levels))
 
 
 def daily_costs(costs: DataFrame) -> DataFrame:
