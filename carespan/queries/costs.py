@@ -363,7 +363,7 @@ def _category_levels(t: Inputs) -> DataFrame:
     f"RecipientID Window:i Category_Type Category {_MEASURE_OUT}",
     f"""
     SELECT p.RecipientID, p.Window_ AS "Window", k.*, {', '.join(f'coalesce(m.{x}, 0) AS {x}' for x in cost_ops.MEASURES)}
-    FROM (SELECT DISTINCT RecipientID, Window_ FROM ref_monthly WHERE Category_Type = 'Summary_Category') p
+    FROM (SELECT DISTINCT RecipientID, Window_ FROM ref_monthly) p
     CROSS JOIN (SELECT * FROM ref_categories WHERE Category_Type = 'Summary_Category') k
     LEFT JOIN ref_monthly m ON m.RecipientID = p.RecipientID AND m.Window_ = p.Window_ AND m.Category_Type = k.Category_Type AND m.Category = k.Category
     """,
@@ -418,8 +418,8 @@ def _stats(group: list[str]) -> str:
 fragment("ref_rolling_demo", f"SELECT * FROM ref_rolling JOIN ({_DEMO}) USING (RecipientID)")
 _ALL_STATS = " UNION ALL ".join(_stats(g) for g in rolling.GROUPINGS)
 _STATS_OUT = (
-    "Group_Type Group_Subset Category_Type Category Window:i N:i AdjustedPriceAmt_Mean:f4 AdjustedPriceAmt_Std:f2 "
-    "Encounter_Mean:f4 Service_Count_Mean:f4 Visit_Inpatient_Days_Mean:f4"
+    "Group_Type Group_Subset Category_Type Category Window:i N:i AdjustedPriceAmt_Mean:g4 AdjustedPriceAmt_Std:g2 "
+    "Encounter_Mean:g4 Service_Count_Mean:g4 Visit_Inpatient_Days_Mean:g4"
 )
 
 
@@ -434,7 +434,7 @@ def _rolling_group_stats(t: Inputs) -> DataFrame:
 
 @register(
     "rolling_run",
-    "Group_Type Category_Type Window:i Groups:i N:i Amount:f2",
+    "Group_Type Category_Type Window:i Groups:i N:i Amount:g2",
     f"""
     SELECT Group_Type, Category_Type, Window_ AS "Window", count(*) AS Groups, sum(N) AS N, sum(AdjustedPriceAmt_Mean * N) AS Amount
     FROM ({_ALL_STATS}) GROUP BY ALL
