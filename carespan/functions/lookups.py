@@ -13,7 +13,7 @@ from typing import Any, Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType, _parse_datatype_string
+from pyspark.sql.types import StructType
 
 
 def fixed_table(spark: SparkSession, schema: str | StructType, rows: Sequence[Sequence[Any]]) -> DataFrame:
@@ -36,6 +36,3 @@ def first_match(pairs: Sequence[tuple[Column, Any]], otherwise: Any = None) -> C
         return out
     return out.otherwise(otherwise if isinstance(otherwise, Column) else F.lit(otherwise))
 
-
-def schema_names(schema: str) -> list[str]:
-    return [f.name for f in _parse_datatype_string(schema).fields]

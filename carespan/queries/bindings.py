@@ -12,7 +12,6 @@ from dataclasses import dataclass
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import _parse_datatype_string
 
 from carespan.functions.instruments import ASSESSMENTS, QUESTIONS
 from carespan.functions.lookups import fixed_table
@@ -40,9 +39,9 @@ def _literal(value: Any) -> str:
 
 
 def fixed_sql(binding: Fixed) -> str:
-    fields = _parse_datatype_string(binding.schema).fields
-    casts = ", ".join(f'CAST("{f.name}" AS {_DUCK_TYPES[f.dataType.simpleString()]}) AS "{f.name}"' for f in fields)
-    names = ", ".join(f'"{f.name}"' for f in fields)
+    fields = [field.split() for field in binding.schema.split(",")]
+    casts = ", ".join(f'CAST("{name}" AS {_DUCK_TYPES[kind]}) AS "{name}"' for name, kind in fields)
+    names = ", ".join(f'"{name}"' for name, _ in fields)
     rows = ",\n".join("(" + ", ".join(_literal(v) for v in row) + ")" for row in binding.rows)
     return f"SELECT {casts} FROM (VALUES\n{rows}) AS t({names})"
 

@@ -48,11 +48,14 @@ class Inputs:
         self._frames: dict[str, DataFrame] = {}
 
     def stage(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        """Read the staged table, writing it to the shared folder when it is not there yet."""
+        """Read the staged table, writing it to the shared folder when it is not there yet.
+
+        The rebalance lets adaptive execution choose even files whatever keys are hot.
+        """
         key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key not in _STAGED:
             path = fresh_path(self.spark, name)
-            build().write.parquet(path)
+            build().hint("rebalance").write.parquet(path)
             _STAGED[key] = path
         return self.spark.read.parquet(_STAGED[key])
 
