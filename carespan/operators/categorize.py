@@ -160,55 +160,99 @@ def ip_categorize(claims: DataFrame, institutional: DataFrame, revenue: DataFram
     return coded.select(*claims.columns, *CATEGORY_COLUMNS, *COUNT_COLUMNS)
 
 
-def hcpcs_overrides(rules: DataFrame) -> DataFrame:
-    """One override per HCPCS that some rule places in an overriding category."""
-    order = [name for name, _, _ in HCPCS_OVERRIDES]
-    priority = first_match([(F.col("Category3") == name, i) for i, name in enumerate(order)])
-    best = rules.where(F.col("Category3").isin(order)).groupBy("RevenueHCPCSCd").agg(F.max(priority).alias("p"))
-    return best.select(
-        "RevenueHCPCSCd",
-        first_match([(F.col("p") == i, c2) for i, (_, c2, _) in enumerate(HCPCS_OVERRIDES)]).alias("_o2"),
-        first_match([(F.col("p") == i, c3) for i, (c3, _, _) in enumerate(HCPCS_OVERRIDES)]).alias("_o3"),
-        first_match([(F.col("p") == i, rank) for i, (_, _, rank) in enumerate(HCPCS_OVERRIDES)]).alias("_orank"),
+def _outcome(rank2: Column, rank3: Column, category3: Column, category2: Column) -> Column:
+    return F.struct(
+        rank2.cast("double").alias("Category2Rank"),
+        rank3.cast("double").alias("Category3Rank"),
+        category3.alias("Category3"),
+        category2.alias("Category2"),
+    )
+
+
+def _fixed_outcome(rank: float, category3: str, category2: str) -> Column:
+    return _outcome(F.lit(rank), F.lit(rank), F.lit(category3), F.lit(category2))
+
+
+def _rule_outcome(category3: str, category2: str) -> Column:
+    """What a rule row gives, its gaps filled with the defaults."""
+    return _outcome(
+        F.coalesce("Category2Rank", F.lit(UNRANKED)),
+        F.coalesce("Category3Rank", F.lit(UNRANKED)),
+        F.coalesce("Category3", F.lit(category3)),
+        F.coalesce("Category2", F.lit(category2)),
     )
 
 
+def _ordered_outcomes(rules: DataFrame, per_rule: list[Column], fixed: list[Column]) -> Column:
+    """Every outcome a claim can have, best first, as a scalar array.
+
+    Candidates are compared by their place in it, so picking the best one is a
+    minimum of integers. Bounded by the rule table.
+    """
+    possible = rules.select(F.explode(F.array(*per_rule)).alias("o")).agg(F.collect_set("o").alias("o"))
+    return possible.select(F.array_sort(F.array_union("o", F.array(*fixed))).alias("o")).scalar()
+
+
 def rule_join_rev(revenue: DataFrame, rules: DataFrame) -> DataFrame:
     """Revenue lines left joined to rules on (revenue code, HCPCS)."""
-    picked = rules.select("RevenueCd", "RevenueHCPCSCd", *CATEGORY_COLUMNS)
-    return revenue.join(picked, ["RevenueCd", "RevenueHCPCSCd"], "left")
+    return revenue.join(rules, ["RevenueCd", "RevenueHCPCSCd"], "left")
+
+
+_OP_DEFAULT = ("UNCLASSIFIED", "UNCLASSIFIED")
+
+
+def op_outcomes(rules: DataFrame) -> Column:
+    fixed = [_fixed_outcome(rank, c3, c2) for c3, c2, rank in HCPCS_OVERRIDES]
+    return _ordered_outcomes(rules, [_rule_outcome(*_OP_DEFAULT)], [*fixed, _fixed_outcome(UNRANKED, *_OP_DEFAULT)])
+
+
+def hcpcs_overrides(rules: DataFrame, outcomes: Column) -> DataFrame:
+    """One override per HCPCS that some rule places in an overriding category."""
+    order = [name for name, _, _ in HCPCS_OVERRIDES]
+    priority = first_match([(F.col("Category3") == name, i) for i, name in enumerate(order)])
+    last = rules.where(F.col("Category3").isin(order)).groupBy("RevenueHCPCSCd").agg(F.max(priority).alias("p"))
+    given = first_match(
+        [(F.col("p") == i, _fixed_outcome(rank, c3, c2)) for i, (c3, c2, rank) in enumerate(HCPCS_OVERRIDES)]
+    )
+    return last.select("RevenueHCPCSCd", F.array_position(outcomes, given).alias("_override"))
 
 
 def op_candidates(revenue: DataFrame, rules: DataFrame) -> DataFrame:
-    """Every category a revenue line qualifies for, defaults and overrides applied."""
+    """The best outcome of each revenue line by its rules, unless its HCPCS is overridden."""
     op_rules = rules.where(F.col("Category1") == "OUTPATIENT")
-    joined = rule_join_rev(revenue.select(*CLAIM_KEY, "RevenueCd", "RevenueHCPCSCd"), op_rules)
-    return joined.join(hcpcs_overrides(op_rules), "RevenueHCPCSCd", "left").select(
-        *CLAIM_KEY,
-        "RevenueCd",
-        "RevenueHCPCSCd",
-        F.lit("OUTPATIENT").alias("Category1"),
-        F.coalesce("_o2", "Category2", F.lit("UNCLASSIFIED")).alias("Category2"),
-        F.coalesce("_o3", "Category3", F.lit("UNCLASSIFIED")).alias("Category3"),
-        F.coalesce("_orank", "Category2Rank", F.lit(UNRANKED)).alias("Category2Rank"),
-        F.coalesce("_orank", "Category3Rank", F.lit(UNRANKED)).alias("Category3Rank"),
+    outcomes = op_outcomes(op_rules)
+    ranked = (
+        op_rules.select("RevenueCd", "RevenueHCPCSCd", F.array_position(outcomes, _rule_outcome(*_OP_DEFAULT)).alias("r"))
+        .groupBy("RevenueCd", "RevenueHCPCSCd")
+        .agg(F.min("r").alias("_rule"))
+    )
+    lines = revenue.select(*CLAIM_KEY, "RevenueCd", "RevenueHCPCSCd")
+    default = F.array_position(outcomes, _fixed_outcome(UNRANKED, *_OP_DEFAULT))
+    return (
+        rule_join_rev(lines, ranked)
+        .join(hcpcs_overrides(op_rules, outcomes), "RevenueHCPCSCd", "left")
+        .select(*CLAIM_KEY, F.coalesce("_override", "_rule", default).alias("Outcome"))
     )
 
 
-def best_rank_per_claim(candidates: DataFrame, *tie_break: str) -> DataFrame:
-    """Lowest (Category2Rank, Category3Rank) per claim; ties by Category3, then the given columns.
+def best_rank_per_claim(candidates: DataFrame, category1: str, outcomes: Column) -> DataFrame:
+    """Lowest (Category2Rank, Category3Rank) per claim; ties by Category3, then Category2.
 
-    A minimum over a struct combines map-side, so a claim with very many
+    A minimum of integers combines map-side, so a claim with very many
     candidate lines needs no sort of them all in one task.
     """
-    order = ["Category2Rank", "Category3Rank", "Category3", *tie_break, "Category2", "Category1"]
-    return (
-        candidates.groupBy(*CLAIM_KEY)
-        .agg(F.min(F.struct(*order)).alias("best"))
-        .select(*CLAIM_KEY, *[F.col(f"best.{c}").alias(c) for c in CATEGORY_COLUMNS])
+    best = candidates.groupBy(*CLAIM_KEY).agg(F.min("Outcome").alias("Outcome"))
+    named = best.withColumn("o", F.element_at(outcomes, F.col("Outcome").cast("int")))
+    return named.select(
+        *CLAIM_KEY, F.lit(category1).alias("Category1"), *[F.col(f"o.{c}").alias(c) for c in CATEGORY_COLUMNS[1:]]
     )
 
 
+def op_best(lines: DataFrame, rules: DataFrame) -> DataFrame:
+    outcomes = op_outcomes(rules.where(F.col("Category1") == "OUTPATIENT"))
+    return best_rank_per_claim(op_candidates(lines, rules), "OUTPATIENT", outcomes)
+
+
 def op_lines(claims: DataFrame, revenue: DataFrame) -> DataFrame:
     """Revenue lines of outpatient claims. The claim side has one row per key."""
     keys = record_type_split(claims, "O").select(*CLAIM_KEY)
@@ -234,8 +278,7 @@ def op_constants(df: DataFrame) -> DataFrame:
 
 def op_categorize(claims: DataFrame, revenue: DataFrame, rules: DataFrame) -> DataFrame:
     lines = op_lines(claims, revenue)
-    best = best_rank_per_claim(op_candidates(lines, rules), "RevenueCd", "RevenueHCPCSCd")
-    op = claim_key_inner(record_type_split(claims, "O"), best)
+    op = claim_key_inner(record_type_split(claims, "O"), op_best(lines, rules))
     counts = op_service_count(lines)
     # Line counts come from the claims alone; they only decide which documents are hot.
     outpatient = record_type_split(claims, "O")
@@ -246,55 +289,60 @@ def op_categorize(claims: DataFrame, revenue: DataFrame, rules: DataFrame) -> Da
 
 def rule_join_proc(procedures: DataFrame, rules: DataFrame) -> DataFrame:
     """Procedures left joined to rules on ProcCd; the rule's place is kept apart."""
-    picked = rules.select("ProcCd", F.col("PlaceOfServiceCd").alias("Rule_Place"), *CATEGORY_COLUMNS)
-    return procedures.join(picked, "ProcCd", "left")
+    return procedures.join(rules.withColumnRenamed("PlaceOfServiceCd", "Rule_Place"), "ProcCd", "left")
+
+
+_NIPS_DEFAULT = ("OTHER_PROF", "OTHER")
+
+
+def _at_place() -> Column:
+    """A rule's outcome where its place matches: first by Category2Rank."""
+    rule = _rule_outcome(*_NIPS_DEFAULT)
+    return rule.withField("Category2Rank", F.lit(0.0))
+
+
+def nips_outcomes(rules: DataFrame) -> Column:
+    return _ordered_outcomes(
+        rules, [_rule_outcome(*_NIPS_DEFAULT), _at_place()], [_fixed_outcome(UNRANKED, *_NIPS_DEFAULT)]
+    )
 
 
 def nips_candidates(claims: DataFrame, nips: DataFrame, procedures: DataFrame, rules: DataFrame) -> DataFrame:
-    """Every category a professional claim qualifies for.
+    """Every outcome a professional claim qualifies for.
 
     A rule naming a place counts only at that place, and then comes first. A
     claim whose rules all name other places has no candidate and vanishes.
     """
     rule_set = rules.where(F.col("Category1") == "NIPS")
+    outcomes = nips_outcomes(rule_set)
+    ranked = (
+        rule_set.select(
+            "ProcCd",
+            "PlaceOfServiceCd",
+            F.array_position(outcomes, _rule_outcome(*_NIPS_DEFAULT)).alias("r"),
+            F.array_position(outcomes, _at_place()).alias("m"),
+        )
+        .groupBy("ProcCd", "PlaceOfServiceCd")
+        .agg(F.min("r").alias("_anywhere"), F.min("m").alias("_at_place"))
+    )
+    default = F.array_position(outcomes, _fixed_outcome(UNRANKED, *_NIPS_DEFAULT))
     # One row per (claim, place) and (claim, rule place): few per claim however many lines it has.
     places = nips.groupBy(*CLAIM_KEY, "PlaceOfServiceCd").agg(F.lit(1).alias("_seen")).drop("_seen")
-    ruled = rule_join_proc(procedures.select(*CLAIM_KEY, "ProcCd"), rule_set)
-    ruled = ruled.groupBy(*CLAIM_KEY, "Rule_Place").agg(
-        F.min(
-            F.struct(
-                F.coalesce("Category2Rank", F.lit(UNRANKED)).alias("Category2Rank"),
-                F.coalesce("Category3Rank", F.lit(UNRANKED)).alias("Category3Rank"),
-                F.coalesce("Category3", F.lit("OTHER_PROF")).alias("Category3"),
-                F.col("ProcCd"),
-                F.coalesce("Category2", F.lit("OTHER")).alias("Category2"),
-            )
-        ).alias("r"),
-        # At a matching place only the second rank decides.
-        F.min(
-            F.struct(
-                F.coalesce("Category3Rank", F.lit(UNRANKED)).alias("Category3Rank"),
-                F.coalesce("Category3", F.lit("OTHER_PROF")).alias("Category3"),
-                F.col("ProcCd"),
-                F.coalesce("Category2", F.lit("OTHER")).alias("Category2"),
-            )
-        ).alias("m"),
+    ruled = (
+        rule_join_proc(procedures.select(*CLAIM_KEY, "ProcCd"), ranked)
+        .groupBy(*CLAIM_KEY, "Rule_Place")
+        .agg(F.min(F.coalesce("_anywhere", default)).alias("_anywhere"), F.min("_at_place").alias("_at_place"))
     )
     joined = claim_key_left(claim_key_left(record_type_split(claims, "N").select(*CLAIM_KEY), places), ruled)
-    at_place = F.coalesce(F.col("PlaceOfServiceCd") == F.col("Rule_Place"), F.lit(False))
-    kept = joined.withColumn("_at", at_place).where(
-        F.col("_at") | (F.coalesce(F.col("Rule_Place"), F.lit("")) == "")
-    )
-    chosen = lambda name: F.when(F.col("_at"), F.col(f"m.{name}")).otherwise(F.col(f"r.{name}"))
-    return kept.select(
-        *CLAIM_KEY,
-        chosen("ProcCd").alias("ProcCd"),
-        F.lit("NIPS").alias("Category1"),
-        F.coalesce(chosen("Category2"), F.lit("OTHER")).alias("Category2"),
-        F.coalesce(chosen("Category3"), F.lit("OTHER_PROF")).alias("Category3"),
-        F.when(F.col("_at"), 0.0).otherwise(F.coalesce(F.col("r.Category2Rank"), F.lit(UNRANKED))).alias("Category2Rank"),
-        F.coalesce(chosen("Category3Rank"), F.lit(UNRANKED)).alias("Category3Rank"),
-    )
+    matches = F.coalesce(F.col("PlaceOfServiceCd") == F.col("Rule_Place"), F.lit(False))
+    kept = joined.where(matches | (F.coalesce(F.col("Rule_Place"), F.lit("")) == ""))
+    outcome = F.when(matches, F.col("_at_place")).otherwise(F.coalesce("_anywhere", default))
+    return kept.select(*CLAIM_KEY, outcome.alias("Outcome"))
+
+
+def nips_best(claims: DataFrame, nips: DataFrame, procedures: DataFrame, rules: DataFrame) -> DataFrame:
+    outcomes = nips_outcomes(rules.where(F.col("Category1") == "NIPS"))
+    return best_rank_per_claim(nips_candidates(claims, nips, procedures, rules), "NIPS", outcomes)
 
 
 def nips_visit(df: DataFrame) -> DataFrame:
@@ -310,7 +358,7 @@ def nips_visit(df: DataFrame) -> DataFrame:
 
 
 def nips_categorize(claims: DataFrame, nips: DataFrame, procedures: DataFrame, rules: DataFrame) -> DataFrame:
-    best = best_rank_per_claim(nips_candidates(claims, nips, procedures, rules), "ProcCd")
+    best = nips_best(claims, nips, procedures, rules)
     categorized = claim_key_inner(record_type_split(claims, "N"), best)
     return nips_visit(categorized).select(*claims.columns, *CATEGORY_COLUMNS, *COUNT_COLUMNS)
 

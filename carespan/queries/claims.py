@@ -71,7 +71,7 @@ fragment(
     f"""
 SELECT x.* EXCLUDE (rn, RevenueCd, RevenueHCPCSCd), 1 AS Visit, 1 AS Encounter, 0 AS Procedure_Count, 0 AS Visit_Inpatient_Days,
   coalesce(s.n, 0) AS Service_Count
-FROM (SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY Category2Rank, Category3Rank, Category3, RevenueCd, RevenueHCPCSCd, Category2) AS rn
+FROM (SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY Category2Rank, Category3Rank, Category3, Category2) AS rn
       FROM ref_op_candidates) x
 LEFT JOIN (SELECT RecipientID, DCN, count(*) AS n FROM ref_op_lines WHERE RevenueCd <> '0001' GROUP BY RecipientID, DCN) s USING (RecipientID, DCN)
 WHERE rn = 1
@@ -96,7 +96,7 @@ SELECT * EXCLUDE (rn, PlaceOfServiceCd, ProcCd, Rule_Place),
   CASE WHEN Category3 IN ('OTHER_OUTPATIENT_VISIT','HOSPITAL_OUTPATIENT_VISIT','OFFICE_VISIT','RURAL_HEALTH_CLINIC_VISIT','HOME_VISIT',
     'TELEPHONE_VISIT','PREVENTIVE_VISIT','OUTPATIENT_CONSULT') THEN 1 ELSE 0 END AS Visit,
   1 AS Encounter, 0 AS Procedure_Count, 0 AS Visit_Inpatient_Days, 1 AS Service_Count
-FROM (SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY Category2Rank, Category3Rank, Category3, ProcCd NULLS FIRST, Category2) AS rn
+FROM (SELECT *, row_number() OVER (PARTITION BY {KEY} ORDER BY Category2Rank, Category3Rank, Category3, Category2) AS rn
       FROM ref_nips_candidates) WHERE rn = 1
 """,
 )
@@ -218,7 +218,7 @@ def _claim_key_left(t: Inputs) -> DataFrame:
     """,
 )
 def _rule_join_rev(t: Inputs) -> DataFrame:
-    return cat.rule_join_rev(t.in_revenue, t.in_bill_rules)
+    return cat.rule_join_rev(t.in_revenue, t.in_bill_rules.drop("ProcCd", "PlaceOfServiceCd"))
 
 
 @register(
@@ -230,7 +230,7 @@ def _rule_join_rev(t: Inputs) -> DataFrame:
     """,
 )
 def _rule_join_proc(t: Inputs) -> DataFrame:
-    return cat.rule_join_proc(t.in_procedure, t.in_bill_rules)
+    return cat.rule_join_proc(t.in_procedure, t.in_bill_rules.drop("RevenueCd", "RevenueHCPCSCd"))
 
 
 @register(
@@ -347,12 +347,11 @@ def _op_categorize(t: Inputs) -> DataFrame:
     f"{KEY_OUT} {CATEGORY_OUT}",
     f"""
     SELECT DISTINCT ON ({KEY}) * FROM ref_op_candidates
-    ORDER BY {KEY}, Category2Rank, Category3Rank, Category3, RevenueCd, RevenueHCPCSCd, Category2
+    ORDER BY {KEY}, Category2Rank, Category3Rank, Category3, Category2
     """,
 )
 def _best_rank(t: Inputs) -> DataFrame:
-    lines = cat.op_lines(t.in_claims, t.in_revenue)
-    return cat.best_rank_per_claim(cat.op_candidates(lines, t.in_bill_rules), "RevenueCd", "RevenueHCPCSCd")
+    return cat.op_best(cat.op_lines(t.in_claims, t.in_revenue), t.in_bill_rules)
 
 
 @register("nips_categorize", BRANCH_OUT, "SELECT * FROM ref_nips")
@@ -366,9 +365,7 @@ def _nips_categorize(t: Inputs) -> DataFrame:
     "SELECT Category3, Visit, Encounter, Service_Count, count(*) AS Lines FROM ref_nips GROUP BY ALL",
 )
 def _nips_visit(t: Inputs) -> DataFrame:
-    best = cat.best_rank_per_claim(
-        cat.nips_candidates(t.in_claims, t.in_nips, t.in_procedure, t.in_bill_rules), "ProcCd"
-    )
+    best = cat.nips_best(t.in_claims, t.in_nips, t.in_procedure, t.in_bill_rules)
     return cat.nips_visit(best).groupBy("Category3", "Visit", "Encounter", "Service_Count").agg(F.count(F.lit(1)).alias("Lines"))
 
 
