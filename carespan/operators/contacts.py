@@ -96,26 +96,34 @@ def _column(kind: str) -> str:
     return kind.replace(" ", "_")
 
 
-def recent_contact_pivot(contacts: DataFrame) -> DataFrame:
+def _per_patient(contacts: DataFrame, patients: DataFrame, *aggregates: Column) -> DataFrame:
+    """Aggregate by patient first, so that only one row of each patient meets the patient table."""
+    ids = patients.where(F.col("MedicaidNum").isNotNull()).select(F.col("ID").alias("PatientID"), "MedicaidNum")
+    return contacts.groupBy("PatientID").agg(*aggregates).join(ids, "PatientID")
+
+
+def _typed(contacts: DataFrame) -> DataFrame:
+    kind = contact_outcome(F.col("OutcomeStatusGBLCode"), True)
+    return contacts.withColumn("ContactTypeSuccess", kind).where(F.col("ContactTypeSuccess").isNotNull())
+
+
+def recent_contact_pivot(contacts: DataFrame, patients: DataFrame) -> DataFrame:
     """Date of the latest outcome of each type per patient; patients without any outcome time drop out."""
-    dated = contacts.where(
-        F.col("MedicaidNum").isNotNull() & F.col("ContactTypeSuccess").isNotNull() & F.col("OutcomeDateTime").isNotNull()
-    )
     latest = [
         F.to_date(F.max(F.when(F.col("ContactTypeSuccess") == k, F.col("OutcomeDateTime")))).alias(_column(k))
         for k in OUTCOME_TYPES
     ]
-    return dated.groupBy("MedicaidNum", "PatientID").agg(*latest)
+    dated = _typed(contacts).where(F.col("OutcomeDateTime").isNotNull())
+    return _per_patient(dated, patients, *latest)
 
 
-def contact_counts(contacts: DataFrame) -> DataFrame:
+def contact_counts(contacts: DataFrame, patients: DataFrame) -> DataFrame:
     """Contacts of each outcome type per patient, 0 filled."""
-    typed = contacts.where(F.col("MedicaidNum").isNotNull() & F.col("ContactTypeSuccess").isNotNull())
     counts = [
         F.count(F.when(F.col("ContactTypeSuccess") == k, F.col("ContactTS"))).alias(f"Count_of_{_column(k)}")
         for k in OUTCOME_TYPES
     ]
-    return typed.groupBy("MedicaidNum", "PatientID").agg(*counts)
+    return _per_patient(_typed(contacts), patients, *counts)
 
 
 def service_category(reason: Column) -> Column:

@@ -43,3 +43,8 @@ def daily_costs(costs: DataFrame) -> DataFrame:
         F.sum("Visit").alias("Visit"),
         F.sum("Visit_Inpatient_Days").alias("Visit_Inpatient_Days"),
     )
+
+
+def daily_category_costs(costs: DataFrame) -> DataFrame:
+    """Measures per patient, day and full category: the grain to join patients at."""
+    return costs.groupBy("RecipientID", "ServiceFromDt", *CATEGORY_LEVELS).agg(*[F.sum(m).alias(m) for m in MEASURES])

@@ -6,6 +6,7 @@ import math
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from carespan.functions.text import percent_text
@@ -43,7 +44,7 @@ def crosstab_report(df: DataFrame, columns: str, rows: str, values: Sequence[str
 def describe_report(df: DataFrame, group: str, value: str, kind: str) -> DataFrame:
     """Per group and in total: 'mean (std)' or 'median (p25, p75)' as text with two decimals.
 
-    Percentiles are exact, from a histogram of the distinct values per group.
+    Percentiles are exact and interpolated.
     """
     grouped = df.where(F.col(value).isNotNull())
     labels = F.array_compact(F.array(F.col(group).cast("string"), F.lit("Total")))
@@ -52,16 +53,60 @@ def describe_report(df: DataFrame, group: str, value: str, kind: str) -> DataFra
         stats = rows.groupBy("Group").agg(F.avg("v").alias("a"), F.stddev_samp("v").alias("s"))
         text = F.concat(_fixed(F.col("a")), F.lit(" ("), _fixed(F.col("s")), F.lit(")"))
     else:
-        # Value counts first: a hot group reaches its last task as distinct values with frequencies.
-        counted = rows.groupBy("Group", "v").agg(F.count(F.lit(1)).alias("n"))
-        quartiles = F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)), F.col("n"))
-        stats = counted.groupBy("Group").agg(quartiles.alias("q"))
+        stats = exact_quantiles(rows, "Group", "v", [0.25, 0.5, 0.75]).withColumnRenamed("quantiles", "q")
         text = F.concat(
             _fixed(F.col("q")[1]), F.lit(" ("), _fixed(F.col("q")[0]), F.lit(", "), _fixed(F.col("q")[2]), F.lit(")")
         )
     return stats.select("Group", F.lit(f"{value} {kind}").alias("Description"), text.alias("Final"))
 
 
+def _value_bucket(value: Column) -> Column:
+    """Order-preserving number of the value's sign, magnitude and first three digits."""
+    size = F.abs(value)
+    power = F.floor(F.log10(size))
+    digits = F.floor(size / F.pow(F.lit(10.0), (power - 2).cast("double")))
+    return F.when(value == 0, 0).otherwise(F.signum(value) * ((power + 400) * 1000 + digits)).cast("bigint")
+
+
+def exact_quantiles(rows: DataFrame, group: str, value: str, probabilities: Sequence[float]) -> DataFrame:
+    """Exact interpolated quantiles per group, as an array in the order of ``probabilities``.
+
+    Value counts are summed per bucket of leading digits; running totals over
+    those few buckets tell which of them hold the wanted ranks, and only their
+    values are ranked. No group is gathered whole.
+    """
+    counted = rows.groupBy(group, value).agg(F.count(F.lit(1)).alias("n")).withColumn("bucket", _value_bucket(F.col(value)))
+    buckets = counted.groupBy(group, "bucket").agg(F.sum("n").alias("n"))
+    running = W.partitionBy(group).orderBy("bucket")
+    positions = [F.lit(p) * (F.col("total") - 1) for p in probabilities]
+    ranks = F.array_distinct(F.array(*[f(p).cast("bigint") for p in positions for f in (F.floor, F.ceil)]))
+    wanted = (
+        buckets.withColumn("until", F.sum("n").over(running))
+        .withColumn("total", F.sum("n").over(W.partitionBy(group)))
+        .withColumn("before", F.col("until") - F.col("n"))
+        .withColumn("rank", F.explode(ranks))
+        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("until")))
+        .select(group, "bucket", "before", "total", "rank")
+    )
+    within = W.partitionBy(group, "bucket", "rank").orderBy(value)
+    found = (
+        counted.join(wanted, [group, "bucket"])
+        .withColumn("upto", F.col("before") + F.sum("n").over(within))
+        .where(F.col("upto") > F.col("rank"))
+        .groupBy(group, "total", "rank")
+        .agg(F.min(value).alias("at"))
+        .groupBy(group, "total")
+        .agg(F.map_from_entries(F.collect_list(F.struct("rank", "at"))).alias("values"))
+    )
+
+    def quantile(position: Column) -> Column:
+        low = F.element_at("values", F.floor(position).cast("bigint"))
+        high = F.element_at("values", F.ceil(position).cast("bigint"))
+        return low + (position - F.floor(position)) * (high - low)
+
+    return found.select(group, F.array(*[quantile(p) for p in positions]).alias("quantiles"))
+
+
 def _fixed(number: Column) -> Column:
     return F.coalesce(F.format_string("%.2f", number), F.lit("nan"))
 

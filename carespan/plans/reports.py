@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from carespan.operators.contacts import contact_report, recent_contact_pivot
+from carespan.operators.contacts import recent_contact_pivot
 from carespan.operators.followup import describe_codes, first_followup
 from carespan.operators.keys import inclusive_between
 from carespan.operators.utilization import (
@@ -74,7 +74,7 @@ def careplan_assembly(
     workers: DataFrame,
 ) -> DataFrame:
     """Active patients with latest contacts, care plan and worker."""
-    recent = recent_contact_pivot(contact_report(contacts, contact_patients)).drop("MedicaidNum")
+    recent = recent_contact_pivot(contacts, contact_patients).drop("MedicaidNum")
     mapped = worker_mapping.select("PatientID", "NetID").join(
         workers.select("NetID", "ConsensusUsername", "FirstName"), "NetID", "left"
     )

@@ -331,7 +331,7 @@ _MEASURE_OUT = "AdjustedPriceAmt:m Encounter:i Service_Count:i Visit_Inpatient_D
 
 
 def costs(t: Inputs) -> DataFrame:
-    return cost_ops.cost_window(categorized(t), t.in_patient)
+    return cost_ops.cost_window(cost_ops.daily_category_costs(categorized(t)), t.in_patient)
 
 
 @register(
@@ -340,7 +340,7 @@ def costs(t: Inputs) -> DataFrame:
     'SELECT *, Window_ AS "Window" FROM ref_costs',
 )
 def _cost_window(t: Inputs) -> DataFrame:
-    return costs(t)
+    return cost_ops.cost_window(categorized(t), t.in_patient)
 
 
 @register(

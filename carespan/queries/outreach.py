@@ -90,7 +90,7 @@ _TYPE_DATES = " ".join(f"{k.replace(' ', '_')}:d" for k in con.OUTCOME_TYPES)
 
 @register("recent_contact_pivot", f"MedicaidNum PatientID:i {_TYPE_DATES}", "SELECT * FROM ref_recent")
 def _recent_contact_pivot(t: Inputs) -> DataFrame:
-    return con.recent_contact_pivot(report(t))
+    return con.recent_contact_pivot(t.in_contacts, t.in_patient_ids)
 
 
 @register(
@@ -102,7 +102,7 @@ def _recent_contact_pivot(t: Inputs) -> DataFrame:
     """,
 )
 def _contact_counts(t: Inputs) -> DataFrame:
-    return con.contact_counts(report(t))
+    return con.contact_counts(t.in_contacts, t.in_patient_ids)
 
 
 # Title case letter by letter: a letter is upper case unless a letter stands before it.

@@ -1,5 +1,6 @@
 """Questionnaires, contacts, attendance, text cleaners and presentation tables."""
 
+import random
 from datetime import date, datetime
 
 import pytest
@@ -12,7 +13,7 @@ from carespan.operators import assessments as asm
 from carespan.operators import attendance as att
 from carespan.operators import contacts as con
 from carespan.operators import registry as reg
-from carespan.operators.tabulate import crosstab_report, describe_report, paired_stats, two_sided_p
+from carespan.operators.tabulate import crosstab_report, describe_report, exact_quantiles, paired_stats, two_sided_p
 
 
 def value(spark, column):
@@ -101,14 +102,17 @@ def test_reasons(spark, reason, cleaned, category):
 
 
 def test_recent_and_counted_contacts(spark):
-    columns = "MedicaidNum string, PatientID long, ContactTypeSuccess string, ContactTS timestamp, OutcomeDateTime timestamp"
-    rows = [("m", 1, "Successful Home Visit", datetime(2016, 1, 1), datetime(2016, 1, 2, 23)), ("m", 1, "Successful Home Visit", datetime(2016, 1, 1), datetime(2016, 1, 1)),
-            ("m", 1, "Unsuccessful Phone Contact", None, datetime(2016, 3, 1)), ("m", 2, None, datetime(2016, 1, 1), datetime(2016, 1, 1)), (None, 3, "Successful Home Visit", datetime(2016, 1, 1), datetime(2016, 1, 1))]
+    columns = "PatientID long, OutcomeStatusGBLCode string, ContactTS timestamp, OutcomeDateTime timestamp"
+    home, message, day = "Face to face visit successful", "Left Message", datetime(2016, 1, 1)
+    rows = [(1, home, day, datetime(2016, 1, 2, 23)), (1, home, day, day), (1, message, None, datetime(2016, 3, 1)),
+            (2, "unknown text", day, day), (3, home, day, day), (4, home, day, None)]
     df = spark.createDataFrame(rows, columns)
-    (recent,) = con.recent_contact_pivot(df).collect()
-    assert (recent.Successful_Home_Visit, recent.Successful_Phone_Contact) == (date(2016, 1, 2), None)
-    (count,) = con.contact_counts(df).collect()
-    assert (count.Count_of_Successful_Home_Visit, count.Count_of_Unsuccessful_Phone_Contact) == (2, 0)
+    patients = spark.createDataFrame([(1, "m1"), (2, "m2"), (3, None), (4, "m4")], "ID long, MedicaidNum string")
+    (recent,) = con.recent_contact_pivot(df, patients).collect()
+    assert (recent.MedicaidNum, recent.Successful_Home_Visit, recent.Successful_Phone_Contact) == ("m1", date(2016, 1, 2), None)
+    counts = {r.PatientID: r for r in con.contact_counts(df, patients).collect()}
+    assert set(counts) == {1, 4}
+    assert (counts[1].Count_of_Successful_Home_Visit, counts[1].Count_of_Unsuccessful_Phone_Contact) == (2, 0)
 
 
 def test_attendance(spark):
@@ -164,6 +168,19 @@ def test_paired_comparison(spark):
     assert two_sided_p(2.228, 10) == pytest.approx(0.05, abs=1e-4) and two_sided_p(0.0, 4) == 1.0
 
 
-def test_hot_group_description_reaches_one_task_as_counts(spark):
+def test_exact_quantiles(spark):
+    pick = random.Random(5)
+    rows = [(pick.choice("abb"), round(pick.choice([1, 1000, 0.01]) * pick.uniform(-5, 5), 3)) for _ in range(400)]
+    rows += [("one", 7.0), ("zero", 0.0), ("zero", 0.0), ("pow", 999.9999999), ("pow", 1000.0), ("pow", 1000.1)]
+    df = spark.createDataFrame(rows, "g string, v double")
+    probabilities = [0.0, 0.25, 0.5, 0.75, 1.0]
+    ours = {r.g: r.quantiles for r in exact_quantiles(df, "g", "v", probabilities).collect()}
+    expected = df.groupBy("g").agg(F.percentile("v", F.array(*map(F.lit, probabilities))).alias("q"))
+    for r in expected.collect():
+        assert ours[r.g] == pytest.approx(r.q)
+    assert len(ours) == 5
+
+
+def test_hot_group_description(spark):
     df = spark.range(5000).select(F.lit("hot").alias("g"), (F.col("id") % 7).cast("double").alias("v"))
     assert describe_report(df, "g", "v", "median").where("Group = 'hot'").first().Final == "3.00 (1.00, 5.00)"
