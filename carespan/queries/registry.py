@@ -19,6 +19,7 @@ from __future__ import annotations
 import re
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -53,11 +54,15 @@ class Inputs:
         The rebalance lets adaptive execution choose even files whatever keys are hot.
         """
         key = (self.spark.sparkContext.applicationId, self.folder, name)
-        if key not in _STAGED:
-            path = fresh_path(self.spark, name)
-            build().hint("rebalance").write.parquet(path)
-            _STAGED[key] = path
-        return self.spark.read.parquet(_STAGED[key])
+        if key in _STAGED:
+            try:
+                return self.spark.read.parquet(_STAGED[key])
+            except AnalysisException:
+                pass  # the folder was cleared in between, so it is written again
+        path = fresh_path(self.spark, name)
+        build().hint("rebalance").write.parquet(path)
+        _STAGED[key] = path
+        return self.spark.read.parquet(path)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_"):

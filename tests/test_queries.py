@@ -47,3 +47,13 @@ def test_matches_sql(spark, duck, key):
 def test_p_value_query(spark):
     (row,) = QUERIES["paired_p_value"](spark, FOLDER).collect()
     assert row.n > 1 and 0 < row.p_value <= 1
+
+
+def test_staged_table_is_written_again_when_its_folder_is_gone(spark):
+    from carespan.queries import registry
+
+    inputs = registry.Inputs(spark, FOLDER)
+    key = (spark.sparkContext.applicationId, FOLDER, "probe")
+    registry._STAGED[key] = "/nonexistent/probe"
+    assert inputs.stage("probe", lambda: spark.range(3)).count() == 3
+    assert registry._STAGED.pop(key) != "/nonexistent/probe"
