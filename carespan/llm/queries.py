@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carespan.llm import ngram_join
+from carespan.llm import ngram_join, quality_rules, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
+    "op3_suffix_array_quality": quality_rules.op3_suffix_array_quality,
+    "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {}
