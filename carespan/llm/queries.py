@@ -6,12 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carespan.llm import ngram_join, quality_rules, suffix_dedup
+from carespan.llm import decontaminate, mixture, ngram_join, quality_rules, shard_shuffle, suffix_dedup, token_files
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
+    "op2_token_files": token_files.op2_token_files,
     "op3_suffix_array_quality": quality_rules.op3_suffix_array_quality,
     "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
+    "op8_string_tiling_leaks": decontaminate.op8_string_tiling_leaks,
+    "op9_two_pass_shards": shard_shuffle.op9_two_pass_shards,
+    "op10_source_mixture": mixture.op10_source_mixture,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op10_source_mixture": mixture.ORACLE}
