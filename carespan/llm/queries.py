@@ -6,16 +6,30 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from carespan.llm import decontaminate, mixture, ngram_join, quality_rules, shard_shuffle, suffix_dedup, token_files
+from carespan.llm import (
+    decontaminate,
+    mixture,
+    ngram_join,
+    piece_counts,
+    quality_rules,
+    rule_ensemble,
+    shard_shuffle,
+    suffix_dedup,
+    token_files,
+    url_lists,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard_join": ngram_join.op1_ngram_jaccard_join,
     "op2_token_files": token_files.op2_token_files,
     "op3_suffix_array_quality": quality_rules.op3_suffix_array_quality,
+    "op4_rule_ensemble_quality": rule_ensemble.op4_rule_ensemble_quality,
+    "op5_temporal_url_lists": url_lists.op5_temporal_url_lists,
     "op6_suffix_dedup": suffix_dedup.op6_suffix_dedup,
+    "op7_longest_match_counts": piece_counts.op7_longest_match_counts,
     "op8_string_tiling_leaks": decontaminate.op8_string_tiling_leaks,
     "op9_two_pass_shards": shard_shuffle.op9_two_pass_shards,
     "op10_source_mixture": mixture.op10_source_mixture,
 }
 
-ORACLES: dict[str, str] = {"op10_source_mixture": mixture.ORACLE}
+ORACLES: dict[str, str] = {"op5_temporal_url_lists": url_lists.ORACLE, "op10_source_mixture": mixture.ORACLE}
