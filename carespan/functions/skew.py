@@ -2,10 +2,10 @@
 
 A window function would put every row of a key into one task. A grouped
 summary does not (it combines map-side), but joining it back by shuffle would
-again gather the hot key's rows. Here a key holding at least 1/1000 of all rows counts as hot.
-There can be at most 1000 such keys whatever the data size, so their summary
-rows are broadcast; the rows of hot keys are dealt over salts so the shuffle
-join that serves all other keys stays even. No row is dropped or capped.
+again gather the hot key's rows. Here a key with HOT_ROWS rows or more counts as hot, so long as
+there are at most MOST_HOT such keys (beyond, the limit rises to total / MOST_HOT rows); their summary
+rows are broadcast, which that number bounds. The rows of a hot key are dealt over as many salts as
+it has HOT_ROWS, so the shuffle join that serves all other keys stays even. No row is dropped or capped.
 """
 
 from __future__ import annotations
@@ -15,8 +15,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-HOT_SHARE = 1000
-SALTS = 512
+HOT_ROWS = 1_000_000
+MOST_HOT = 100_000
 
 
 def summarize(rows: DataFrame, keys: Sequence[str], *aggregates) -> DataFrame:
@@ -24,23 +24,22 @@ def summarize(rows: DataFrame, keys: Sequence[str], *aggregates) -> DataFrame:
     return rows.groupBy(*keys).agg(*aggregates, F.count(F.lit(1)).alias("_rows"))
 
 
-def attach_summary(
-    rows: DataFrame, summary: DataFrame, keys: Sequence[str], counted: DataFrame | None = None
-) -> DataFrame:
+def attach_summary(rows: DataFrame, summary: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Left join ``summary`` (one row per key, with ``_rows``) onto ``rows``.
 
-    ``counted`` is the frame ``_rows`` was counted on, ``rows`` unless given; only
-    its size is used. Rows with a NULL in a key get NULLs, as in any left join.
+    Rows with a NULL in a key get NULLs, as in any left join.
     """
     values = [c for c in summary.columns if c not in keys and c != "_rows"]
-    total = (rows if counted is None else counted).agg(F.count(F.lit(1)).alias("n")).scalar()
-    hot = summary.where(F.col("_rows") * HOT_SHARE >= total).select(
-        *keys, *[F.col(c).alias(f"_hot_{c}") for c in values], F.lit(True).alias("_hot")
+    total = summary.agg(F.sum("_rows").alias("n")).scalar()
+    hot_from = F.greatest(F.lit(HOT_ROWS), F.coalesce(total, F.lit(0)) / MOST_HOT)
+    salts = F.ceil(F.col("_rows") / HOT_ROWS).alias("_salts")
+    hot = summary.where(F.col("_rows") >= hot_from).select(
+        *keys, *[F.col(c).alias(f"_hot_{c}") for c in values], F.lit(True).alias("_hot"), salts
     )
-    rest = summary.where(F.col("_rows") * HOT_SHARE < total).select(
+    rest = summary.where(F.col("_rows") < hot_from).select(
         *keys, F.lit(0).alias("_salt"), *[F.col(c).alias(f"_rest_{c}") for c in values]
     )
-    salt = F.when(F.col("_hot"), 1 + F.pmod(F.xxhash64(*rows.columns), F.lit(SALTS)).cast("int"))
+    salt = F.when(F.col("_hot"), 1 + F.pmod(F.xxhash64(*rows.columns), F.col("_salts")).cast("int"))
     return (
         rows.join(F.broadcast(hot), list(keys), "left")
         .withColumn("_salt", F.coalesce(salt, F.lit(0)))

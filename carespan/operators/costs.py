@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from carespan.functions.dates import avg_months_between
 
 MEASURES = ["AdjustedPriceAmt", "Encounter", "Service_Count", "Visit_Inpatient_Days"]
+UNCATEGORIZED = "Uncategorized"
 CATEGORY_LEVELS = ["Summary_Category", "Category1", "Category2", "Category3"]
 
 
@@ -21,7 +22,7 @@ def cost_window(costs: DataFrame, patients: DataFrame) -> DataFrame:
 def category_levels(costs: DataFrame) -> DataFrame:
     """One row per cost and level: summary, c1, c1_c2, c1_c2_c3 as (Category_Type, Category).
 
-    Category is NULL where a cost has no category at that level.
+    A cost without a category at a level counts under UNCATEGORIZED there.
     """
     values = {
         "Summary_Category": F.col("Summary_Category"),
@@ -30,7 +31,10 @@ def category_levels(costs: DataFrame) -> DataFrame:
         "Category3": F.concat("Category1", F.lit("_"), "Category2", F.lit("_"), "Category3"),
     }
     levels = F.array(
-        *[F.struct(F.lit(k).alias("Category_Type"), v.alias("Category")) for k, v in values.items()]
+        *[
+            F.struct(F.lit(k).alias("Category_Type"), F.coalesce(v, F.lit(UNCATEGORIZED)).alias("Category"))
+            for k, v in values.items()
+        ]
     )
     kept = [c for c in costs.columns if c not in CATEGORY_LEVELS]
     return costs.select(*kept, F.inline(levels))

@@ -37,6 +37,9 @@ def code_table_inner(code_counts: DataFrame, code_table: DataFrame) -> DataFrame
     return code_counts.join(code_table, code_counts["DiagCd"] == code_table["Dx_Code"], "inner")
 
 
+UNLISTED = "Unlisted_Groups"
+
+
 def required_ratio(group: Column) -> Column:
     return first_match([(group == name, ratio) for name, ratio in INCLUSION_RATIO.items()], DEFAULT_RATIO)
 
@@ -55,11 +58,12 @@ def dx_inclusion_exclusion(code_counts: DataFrame, code_table: DataFrame) -> Dat
 
 
 def dx_flags(patients: DataFrame, code_counts: DataFrame, code_table: DataFrame, groups: Sequence[str]) -> DataFrame:
-    """One 0/1 column per group for every patient."""
+    """One 0/1 column per group for every patient, and the names of groups that ``groups`` doesn't list."""
     qualified = dx_inclusion_exclusion(code_counts, code_table)
     flags = [F.max(F.when(F.col("Group_Name") == g, 1).otherwise(0)).alias(g) for g in groups]
-    per_patient = qualified.groupBy("RecipientID").agg(*flags)
-    return patients.join(per_patient, "RecipientID", "left").fillna(0, list(groups))
+    unlisted = F.collect_set(F.when(~F.col("Group_Name").isin(list(groups)), F.col("Group_Name")))
+    per_patient = qualified.groupBy("RecipientID").agg(*flags, F.array_join(F.array_sort(unlisted), ",").alias(UNLISTED))
+    return patients.join(per_patient, "RecipientID", "left").fillna(0, list(groups)).fillna("", [UNLISTED])
 
 
 def dx_pregnancy(patients: DataFrame, code_counts: DataFrame, code_table: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from typing import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -66,6 +68,23 @@ def population_label_value(patients: DataFrame, population: str, label_type: str
     return chosen.agg(F.count("RecipientID").alias("Count"))
 
 
+def population_label_values(patients: DataFrame, commands: Sequence[tuple[str, str, str]]) -> DataFrame:
+    """The counts of many (population, label type, value) at once, from one grouped table; 0 where nobody fits."""
+    asked = F.array(
+        *[F.struct(F.lit(p).alias("Population"), F.lit(k).alias("Label_Type"), F.lit(v).alias("Value")) for p, k, v in commands]
+    )
+    found = F.map_from_entries(F.collect_list(F.struct(F.struct("Population", "Label_Type", "Name"), "Count")))
+    counts = (
+        population_label_counts(patients)
+        .groupBy("Population", "Label_Type", F.upper("Label").alias("Name"))
+        .agg(F.sum("Count").alias("Count"))
+        .agg(found.alias("counts"))
+    )
+    listed = counts.select("counts", F.inline(asked))
+    count = F.try_element_at("counts", F.struct("Population", "Label_Type", F.upper("Value").alias("Name")))
+    return listed.select("Population", "Label_Type", "Value", F.coalesce(count, F.lit(0)).cast("bigint").alias("Count"))
+
+
 def rpt_population_summary(patients: DataFrame) -> DataFrame:
     """All counts in one tidy table: everyone, engaged and enrolled, by one or two labels."""
     populations = F.array_compact(

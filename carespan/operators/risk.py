@@ -126,34 +126,36 @@ def risk_assembly(patients: DataFrame, daily: DataFrame, as_of: date | Column, c
     return out.join(cdps, "RecipientID", "left") if cdps is not None else out
 
 
-def risk_all_releases(
-    patients: DataFrame, daily: DataFrame, releases: DataFrame, release_numbers: Sequence[int]
-) -> DataFrame:
-    """Tier code per release, their total, and the code pattern without the latest release.
+def risk_all_releases(patients: DataFrame, daily: DataFrame, releases: DataFrame) -> DataFrame:
+    """A row per patient and release of the release table: tier code, the patient's total, and
+    the code pattern in release order without the latest release.
 
     A tier is 0 where the patient has no inpatient or emergency line in that
     release's lookback. Release dates reach the daily rows as one scalar array
-    (a release a month); they are exploded and filtered in place, without a shuffle.
+    (a release a month); of them a day keeps those it lies in the lookback of, without a shuffle.
     """
     dates = releases.agg(
-        F.collect_list(F.struct("ReleaseNum", F.col("HFS_Release_Date").alias("at")))
+        F.array_sort(F.collect_list(F.struct("ReleaseNum", F.col("HFS_Release_Date").alias("at"))))
     ).scalar()
-    in_lookback = F.col("ServiceFromDt").between(
-        add_calendar_months(F.col("r.at"), -LOOKBACK_MONTHS), F.col("r.at")
+    near = F.filter(
+        "releases", lambda r: F.col("ServiceFromDt").between(add_calendar_months(r["at"], -LOOKBACK_MONTHS), r["at"])
     )
     per_release = (
-        daily.withColumn("r", F.explode(dates))
-        .where(in_lookback)
+        daily.withColumn("releases", dates)
+        .withColumn("r", F.explode(near))
         .groupBy("RecipientID", F.col("r.ReleaseNum").alias("ReleaseNum"))
         .agg(F.sum("ED").alias("ED"), F.sum("IP").alias("IP"))
         .select("RecipientID", "ReleaseNum", risk_tier(F.col("ED"), F.col("IP"), RELEASE_TIERS).cast("int").alias("Tier"))
     )
-    names = [f"RTO_{n}" for n in release_numbers]
-    wide = per_release.groupBy("RecipientID").agg(
-        *[F.max(F.when(F.col("ReleaseNum") == n, F.col("Tier"))).alias(f"RTO_{n}") for n in release_numbers]
+    tiers = per_release.groupBy("RecipientID").agg(
+        F.map_from_entries(F.collect_list(F.struct("ReleaseNum", "Tier"))).alias("tiers")
     )
-    out = patients.select("RecipientID").join(wide, "RecipientID", "left").fillna(0, names)
-    total = sum((F.col(n) for n in names[1:]), F.col(names[0]))
-    return out.withColumns(
-        {"Total": total, "Pattern": F.concat(F.lit(""), *[F.col(n).cast("string") for n in names[:-1]])}
+    rows = patients.select("RecipientID").join(tiers, "RecipientID", "left").withColumn("releases", dates)
+    tier = F.transform("releases", lambda r: F.coalesce(F.try_element_at("tiers", r["ReleaseNum"]), F.lit(0)))
+    rows = rows.withColumn("codes", tier)
+    return rows.select(
+        "RecipientID",
+        F.inline(F.arrays_zip(F.col("releases.ReleaseNum").alias("ReleaseNum"), F.col("codes").alias("Tier"))),
+        F.aggregate("codes", F.lit(0), lambda acc, c: acc + c).alias("Total"),
+        F.array_join(F.slice("codes", F.lit(1), F.greatest(F.size("codes") - 1, F.lit(0))).cast("array<string>"), "").alias("Pattern"),
     )

@@ -15,19 +15,24 @@ from carespan.functions.text import percent_text
 INTERVAL_FACTOR = 1.98
 
 
+OTHER = "Other"
+
+
 def crosstab_report(df: DataFrame, columns: str, rows: str, values: Sequence[str], count: str) -> DataFrame:
     """Counts of ``columns`` values per ``rows`` value with column percentages.
 
-    ``values`` fixes the output columns. Grand totals are one scalar row, so
+    ``values`` fixes the output columns; any further value counts under OTHER, and a row
+    label stays whatever its values are. Grand totals are one scalar row, so
     nothing but the small counted table is read twice.
     """
+    label = F.when(F.col(columns).isin(list(values)), F.col(columns)).when(F.col(columns).isNotNull(), F.lit(OTHER))
+    values = [*values, OTHER]
     counted = (
         df.where(F.col(rows).isNotNull())
         .groupBy(rows)
-        .agg(*[F.count(F.when(F.col(columns) == v, F.col(count))).alias(v) for v in values])
+        .agg(*[F.count(F.when(label == v, F.col(count))).alias(v) for v in values])
     )
-    total = sum((F.col(v) for v in values[1:]), F.col(values[0]))
-    counted = counted.withColumn("Total", total).where(F.col("Total") > 0)
+    counted = counted.withColumn("Total", sum((F.col(v) for v in values[1:]), F.col(values[0])))
     names = [*values, "Total"]
     grand = counted.agg(F.struct(*[F.sum(n).alias(n) for n in names]).alias("g")).scalar()
     out = counted.withColumn("_g", grand)
@@ -42,59 +47,85 @@ def crosstab_report(df: DataFrame, columns: str, rows: str, values: Sequence[str
 
 
 def describe_report(df: DataFrame, group: str, value: str, kind: str) -> DataFrame:
-    """Per group and in total: 'mean (std)' or 'median (p25, p75)' as text with two decimals.
+    """Per group and in total: 'mean (std)' or 'median (p25, p75)' as text with two decimals, count, least and most.
 
-    Percentiles are exact and interpolated.
+    The rows are summed per group once; the total comes from the groups' sums. Percentiles are
+    exact and interpolated.
     """
-    grouped = df.where(F.col(value).isNotNull())
-    labels = F.array_compact(F.array(F.col(group).cast("string"), F.lit("Total")))
-    rows = grouped.select(F.explode(labels).alias("Group"), F.col(value).cast("double").alias("v"))
+    own = df.where(F.col(value).isNotNull()).select(F.col(group).cast("string").alias("Group"), F.col(value).cast("double").alias("v"))
     if kind == "mean":
-        stats = rows.groupBy("Group").agg(F.avg("v").alias("a"), F.stddev_samp("v").alias("s"))
-        text = F.concat(_fixed(F.col("a")), F.lit(" ("), _fixed(F.col("s")), F.lit(")"))
+        groups = own.groupBy("Group").agg(
+            F.count("v").alias("n"), F.avg("v").alias("a"), F.var_pop("v").alias("var"), F.min("v").alias("low"), F.max("v").alias("high")
+        )
+        mean = groups.agg((F.sum(F.col("n") * F.col("a")) / F.sum("n")).alias("m")).scalar()
+        away = F.col("a") - mean
+        total = groups.select("*", (F.col("n") * (F.col("var") + away * away)).alias("squares")).agg(
+            F.lit("Total").alias("Group"),
+            F.sum("n").alias("n"),
+            (F.sum(F.col("n") * F.col("a")) / F.sum("n")).alias("a"),
+            (F.sum("squares") / F.sum("n")).alias("var"),
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
+        )
+        stats = groups.where("Group IS NOT NULL").unionByName(total.where("n > 0"))
+        s = F.when(F.col("n") > 1, F.sqrt(F.col("var") * F.col("n") / F.greatest(F.col("n") - 1, F.lit(1))))
+        text = F.concat(_fixed(F.col("a")), F.lit(" ("), _fixed(s), F.lit(")"))
     else:
-        stats = exact_quantiles(rows, "Group", "v", [0.25, 0.5, 0.75]).withColumnRenamed("quantiles", "q")
+        counted = own.groupBy("Group", "v").agg(F.count(F.lit(1)).alias("n"))
+        total = counted.groupBy("v").agg(F.sum("n").alias("n")).select(F.lit("Total").alias("Group"), "v", "n")
+        every = counted.where("Group IS NOT NULL").unionByName(total)
+        ranges = every.groupBy("Group").agg(F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+        found = exact_quantiles(every, "Group", "v", [0.25, 0.5, 0.75]).withColumnRenamed("quantiles", "q")
+        stats = found.join(ranges, "Group")
         text = F.concat(
             _fixed(F.col("q")[1]), F.lit(" ("), _fixed(F.col("q")[0]), F.lit(", "), _fixed(F.col("q")[2]), F.lit(")")
         )
-    return stats.select("Group", F.lit(f"{value} {kind}").alias("Description"), text.alias("Final"))
+    description = F.lit(f"{value} {kind}").alias("Description")
+    return stats.select("Group", description, text.alias("Final"), F.col("n").alias("Count"), F.col("low").alias("Min"), F.col("high").alias("Max"))
 
 
-def _value_bucket(value: Column) -> Column:
-    """Order-preserving number of the value's sign, magnitude and first three digits."""
+QUANTILE_DIGITS = (3, 6, 9, 12, 17)
+
+
+def _value_bucket(value: Column, digits: int) -> Column:
+    """Order-preserving text key of the value's sign, magnitude and leading digits."""
     size = F.abs(value)
     power = F.floor(F.log10(size))
-    digits = F.floor(size / F.pow(F.lit(10.0), (power - 2).cast("double")))
-    return F.when(value == 0, 0).otherwise(F.signum(value) * ((power + 400) * 1000 + digits)).cast("bigint")
+    lead = F.floor(size / F.pow(F.lit(10.0), (power - (digits - 1)).cast("double"))).cast("decimal(20,0)")
+    signed = F.when(value < 0, -lead).otherwise(lead)
+    magnitude = F.when(value < 0, -(power + 400)).when(value == 0, 0).otherwise(power + 400)
+    return F.struct(magnitude.cast("int").alias("magnitude"), F.coalesce(signed, F.lit(0).cast("decimal(20,0)")).alias("lead"))
 
 
-def exact_quantiles(rows: DataFrame, group: str, value: str, probabilities: Sequence[float]) -> DataFrame:
+def exact_quantiles(counted: DataFrame, group: str, value: str, probabilities: Sequence[float]) -> DataFrame:
     """Exact interpolated quantiles per group, as an array in the order of ``probabilities``.
 
-    Value counts are summed per bucket of leading digits; running totals over
-    those few buckets tell which of them hold the wanted ranks, and only their
-    values are ranked. No group is gathered whole.
+    ``counted`` has distinct (group, value) with their count ``n``. Counts are summed per bucket of leading digits; running totals over
+    the buckets tell which of them hold the wanted ranks, and only their values go on to more digits,
+    until a bucket is a single value but for the last bits. So a narrow band of values is never ranked as a whole.
     """
-    counted = rows.groupBy(group, value).agg(F.count(F.lit(1)).alias("n")).withColumn("bucket", _value_bucket(F.col(value)))
-    buckets = counted.groupBy(group, "bucket").agg(F.sum("n").alias("n"))
-    running = W.partitionBy(group).orderBy("bucket")
+    totals = counted.groupBy(group).agg(F.sum("n").alias("total"))
     positions = [F.lit(p) * (F.col("total") - 1) for p in probabilities]
     ranks = F.array_distinct(F.array(*[f(p).cast("bigint") for p in positions for f in (F.floor, F.ceil)]))
-    wanted = (
-        buckets.withColumn("until", F.sum("n").over(running))
-        .withColumn("total", F.sum("n").over(W.partitionBy(group)))
-        .withColumn("before", F.col("until") - F.col("n"))
-        .withColumn("rank", F.explode(ranks))
-        .where((F.col("rank") >= F.col("before")) & (F.col("rank") < F.col("until")))
-        .select(group, "bucket", "before", "total", "rank")
-    )
-    within = W.partitionBy(group, "bucket", "rank").orderBy(value)
+    wanted = totals.select(group, "total", F.explode(ranks).alias("rank"), F.lit(0).cast("bigint").alias("before"))
+    held = counted.select(group, F.col(value).alias("at"), "n").join(wanted, group)
+    for digits in QUANTILE_DIGITS:
+        held = held.withColumn("bucket", _value_bucket(F.col("at"), digits))
+        running = W.partitionBy(group, "rank").orderBy("bucket")
+        chosen = (
+            held.groupBy(group, "rank", "before", "bucket")
+            .agg(F.sum("n").alias("own"))
+            .withColumn("until", F.col("before") + F.sum("own").over(running))
+            .where((F.col("until") > F.col("rank")) & (F.col("until") - F.col("own") <= F.col("rank")))
+            .select(group, "rank", "bucket", (F.col("until") - F.col("own")).alias("start"))
+        )
+        held = held.join(chosen, [group, "rank", "bucket"]).withColumn("before", F.col("start")).drop("bucket", "start")
+    last = W.partitionBy(group, "rank").orderBy("at")
     found = (
-        counted.join(wanted, [group, "bucket"])
-        .withColumn("upto", F.col("before") + F.sum("n").over(within))
+        held.withColumn("upto", F.col("before") + F.sum("n").over(last))
         .where(F.col("upto") > F.col("rank"))
         .groupBy(group, "total", "rank")
-        .agg(F.min(value).alias("at"))
+        .agg(F.min("at").alias("at"))
         .groupBy(group, "total")
         .agg(F.map_from_entries(F.collect_list(F.struct("rank", "at"))).alias("values"))
     )
@@ -135,43 +166,38 @@ def paired_summary(df: DataFrame, first: str, second: str) -> DataFrame:
     )
 
 
-def two_sided_p(t: float | None, degrees: int) -> float | None:
-    """Two-sided Student t probability by the continued fraction of the incomplete beta function."""
-    if t is None or degrees < 1 or math.isnan(t):
-        return None
-    x, a, b = degrees / (degrees + t * t), degrees / 2.0, 0.5
-    if x >= 1.0:
-        return 1.0
-    front = math.exp(
-        math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b) + a * math.log(x) + b * math.log1p(-x)
+INTERVALS = 4000  # of the density's integral
+REACH = 40.0  # standard deviations beyond the statistic; what lies behind is below 1e-300
+
+
+def _gamma_ratio(x: Column) -> Column:
+    """Gamma(x + 1/2) / Gamma(x), from the asymptotic series at x + 20."""
+    moved = x + 20.0
+    series = 1 - 1 / (8 * moved) + 1 / (128 * moved**2) + 5 / (1024 * moved**3) - 21 / (32768 * moved**4) - 399 / (262144 * moved**5)
+    down = F.aggregate(
+        F.sequence(F.lit(0), F.lit(19)), F.lit(1.0), lambda acc, k: acc * (x + k) / (x + k + 0.5)
+    )
+    return F.sqrt(moved) * series * down
+
+
+def two_sided_p(t: Column, degrees: Column) -> Column:
+    """Two-sided Student t probability as a column expression.
+
+    With x = sqrt(degrees) tan(u) the density's tail is the integral of cos(u) ** (degrees - 1) from
+    atan(|t| / sqrt(degrees)) on; Simpson's rule over at most REACH / sqrt(degrees) is exact to
+    about 1e-10 for any number of degrees.
+    """
+    freedom = degrees.cast("double")
+    start = F.atan(F.abs(t) / F.sqrt(freedom))
+    width = (F.least(F.lit(math.pi / 2), start + REACH / F.sqrt(freedom)) - start) / INTERVALS
+    term = lambda k: F.when(k % INTERVALS == 0, 1.0).when(k % 2 == 1, 4.0).otherwise(2.0) * F.pow(
+        F.cos(start + k * width), freedom - 1
     )
-    if x < (a + 1) / (a + b + 2):
-        return front * _beta_fraction(x, a, b) / a
-    return 1.0 - front * _beta_fraction(1 - x, b, a) / b
-
-
-def _beta_fraction(x: float, a: float, b: float) -> float:
-    tiny, c = 1e-300, 1.0
-    d = 1.0 / max(1 - (a + b) * x / (a + 1), tiny)
-    out = d
-    for m in range(1, 500):
-        for step in (
-            m * (b - m) * x / ((a + 2 * m - 1) * (a + 2 * m)),
-            -(a + m) * (a + b + m) * x / ((a + 2 * m) * (a + 2 * m + 1)),
-        ):
-            d = 1 + step * d
-            d = 1.0 / (d if abs(d) > tiny else tiny)
-            c = 1 + step / c
-            c = c if abs(c) > tiny else tiny
-            out *= d * c
-        if abs(d * c - 1) < 1e-15:
-            break
-    return out
+    area = F.aggregate(F.sequence(F.lit(0), F.lit(INTERVALS)), F.lit(0.0), lambda acc, k: acc + term(k)) * width / 3
+    p = 2 * _gamma_ratio(freedom / 2) / math.sqrt(math.pi) * area
+    return F.when((degrees >= 1) & t.isNotNull() & ~F.isnan(t), F.least(p, F.lit(1.0)))
 
 
 def paired_stats(df: DataFrame, first: str, second: str) -> DataFrame:
     """The paired summary with its p-value, which is worked out on the single result row."""
-    p_value = F.udf(two_sided_p, "double")
-    return paired_summary(df, first, second).withColumn(
-        "p_value", p_value(F.col("T_Statistic"), (F.col("n") - 1).cast("int"))
-    )
+    return paired_summary(df, first, second).withColumn("p_value", two_sided_p(F.col("T_Statistic"), F.col("n") - 1))

@@ -44,6 +44,17 @@ def report_cohorts(demographics: DataFrame, group: str | None = None, payer: str
     return out.where(F.col("MCO_Name") == payer) if payer else out
 
 
+def labelled_cohorts(demographics: DataFrame, payer: str = DEFAULT_PAYER) -> DataFrame:
+    """Active patients once for each cohort they are in: active, enrolled, engaged payer."""
+    member = {
+        "active": F.lit(True),
+        "enrolled": F.col("Group") == ENROLLED,
+        "engaged payer": (F.col("Group") == ENGAGED) & (F.col("MCO_Name") == payer),
+    }
+    names = F.array_compact(F.array(*[F.when(test, F.lit(name)) for name, test in member.items()]))
+    return report_cohorts(demographics).withColumn("Cohort", F.explode(names))
+
+
 def rpt_act(act_scores: DataFrame, care_team: DataFrame, start: date, end: date) -> DataFrame:
     picked = inclusive_between(act_scores, "StartDate", F.lit(start), F.lit(end))
     return picked.select("PatientID", "StartDate", "Assessment_Count", "ACT_Total_Score", "ACT_Result").join(

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from carespan.functions.instruments import ASSESSMENTS, LOWEST_RAW, QUESTIONS, T_SCORES, scale_sizes
 from carespan.operators import assessments as asm
-from carespan.operators.tabulate import paired_stats, paired_summary
+from carespan.operators.tabulate import paired_stats
 from carespan.plans import reports
 from carespan.queries.bindings import BINDINGS, Fixed
 from carespan.queries.registry import Inputs, fragment, register
@@ -334,13 +334,18 @@ WHERE a.Instrument = 'PHQ9' AND a.Sequence = 'baseline' AND b.Instrument = 'PHQ9
 """,
 )
 _PAIRED_OUT = (
-    "n:i First_Mean:g4 First_Std:g4 First_Sem:g4 Second_Mean:g4 Second_Std:g4 Second_Sem:g4 T_Statistic:g4 SE_diff:g4 CI_95:g4"
+    "n:i First_Mean:f6 First_Std:f6 First_Sem:f6 Second_Mean:f6 Second_Std:f6 Second_Sem:f6 T_Statistic:f6 SE_diff:f6 CI_95:f6"
 )
+# The tail of Student's t by the midpoint rule, on x = sqrt(n - 1) * tan(u).
+_P_VALUE = """
+SELECT least(1.0, 2 * exp(lgamma((n - 1) / 2.0 + 0.5) - lgamma((n - 1) / 2.0)) / sqrt(pi()) * sum(pow(cos(start + (k + 0.5) * width), n - 2)) * width) AS p_value
+FROM (SELECT n, start, (least(pi() / 2, start + 40 / sqrt(n - 1)) - start) / 200000 AS width
+  FROM (SELECT n, atan(abs(T_Statistic) / sqrt(n - 1)) AS start FROM ref_paired)), range(200000) AS r(k) GROUP BY n, start, width
+"""
 
 
-@register(
-    "paired_stats",
-    _PAIRED_OUT,
+fragment(
+    "ref_paired",
     """
     SELECT count(*) AS n, avg(First_) AS First_Mean, stddev_samp(First_) AS First_Std, stddev_samp(First_) / sqrt(count(*)) AS First_Sem,
       avg(Second_) AS Second_Mean, stddev_samp(Second_) AS Second_Std, stddev_samp(Second_) / sqrt(count(*)) AS Second_Sem,
@@ -349,8 +354,11 @@ _PAIRED_OUT = (
       1.98 * sqrt(var_samp(First_) / count(*) + var_samp(Second_) / count(*)) AS CI_95 FROM ref_pairs
     """,
 )
+
+
+@register("paired_stats", _PAIRED_OUT + " p_value:f9", f"SELECT * FROM ref_paired, ({_P_VALUE})")
 def _paired_stats(t: Inputs) -> DataFrame:
-    return paired_summary(pairs(t), "First", "Second")
+    return paired_stats(pairs(t), "First", "Second")
 
 
 def pairs(t: Inputs) -> DataFrame:
@@ -362,9 +370,8 @@ def pairs(t: Inputs) -> DataFrame:
     return both.dropna(subset=["First", "Second"])
 
 
-@register("paired_p_value", "n:i p_value:f9")
+@register("paired_p_value", "n:i p_value:f9", f"SELECT n, p_value FROM ref_paired, ({_P_VALUE})")
 def _paired_p_value(t: Inputs) -> DataFrame:
-    """Has no SQL counterpart: SQL has no Student t distribution. Tested against known values."""
     return paired_stats(pairs(t), "First", "Second")
 
 

@@ -124,7 +124,7 @@ FROM {{in_line}} WHERE RecordIDCd = 'N' AND p_size % 10 <> 9
 """
 
 BINDINGS["in_diagnosis"] = f"""
-SELECT {KEY}, concat('D', cast(brand AS string)) AS DiagCd FROM {{in_line}} WHERE l_orderkey % 2 = 0
+SELECT {KEY}, concat('D', cast(brand AS string)) AS DiagCd FROM {{in_line}} WHERE cast(RecipientID AS int) % 29 <> 3
 """
 
 _OP_RULES = (
@@ -319,7 +319,7 @@ SELECT PatientID, concat('net', cast(PatientID % 14 AS string)) AS NetID, 'x' AS
 """
 BINDINGS["in_workers"] = """
 SELECT concat('net', cast(s_suppkey AS string)) AS NetID, s_name AS ConsensusUsername,
-  concat('W', cast(s_suppkey AS string)) AS FirstName FROM {supplier} WHERE s_suppkey < 12
+  concat('W', cast(s_suppkey AS string)) AS FirstName FROM {supplier}
 """
 BINDINGS["in_patient_ids"] = """
 SELECT c_custkey AS ID, lpad(cast(c_custkey AS string), 9, '0') AS MedicaidNum FROM {customer} WHERE c_custkey % 31 <> 7

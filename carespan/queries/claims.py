@@ -128,11 +128,14 @@ def categorize(t: Inputs) -> DataFrame:
 
 @register(
     "record_type_split",
-    f"{KEY_OUT} RecordIDCd",
-    "SELECT * FROM in_claims WHERE RecordIDCd = 'O'",
+    f"{KEY_OUT} RecordIDCd Branch",
+    "SELECT *, RecordIDCd AS Branch FROM in_claims WHERE RecordIDCd IN ('I', 'O', 'N')",
 )
 def _record_type_split(t: Inputs) -> DataFrame:
-    return keys.record_type_split(t.in_claims, "O")
+    inpatient, outpatient, professional = (
+        keys.record_type_split(t.in_claims, kind).withColumn("Branch", F.lit(kind)) for kind in "ION"
+    )
+    return inpatient.unionByName(outpatient).unionByName(professional)
 
 
 @register("accepted_only", KEY_OUT, "SELECT * FROM in_claims WHERE RejectionStatusCd = 'N'")

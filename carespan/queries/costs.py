@@ -294,10 +294,10 @@ FROM ref_categorized c JOIN in_patient l USING (RecipientID)
 fragment(
     "ref_levels",
     """
-SELECT *, 'Summary_Category' AS Category_Type, Summary_Category AS Category FROM ref_costs WHERE Summary_Category IS NOT NULL
-UNION ALL SELECT *, 'Category1', Category1 FROM ref_costs
-UNION ALL SELECT *, 'Category2', Category1 || '_' || Category2 FROM ref_costs
-UNION ALL SELECT *, 'Category3', Category1 || '_' || Category2 || '_' || Category3 FROM ref_costs
+SELECT *, 'Summary_Category' AS Category_Type, coalesce(Summary_Category, 'Uncategorized') AS Category FROM ref_costs
+UNION ALL SELECT *, 'Category1', coalesce(Category1, 'Uncategorized') FROM ref_costs
+UNION ALL SELECT *, 'Category2', coalesce(Category1 || '_' || Category2, 'Uncategorized') FROM ref_costs
+UNION ALL SELECT *, 'Category3', coalesce(Category1 || '_' || Category2 || '_' || Category3, 'Uncategorized') FROM ref_costs
 """,
 )
 _SUMS = ", ".join(f"coalesce(sum({m}), 0) AS {m}" for m in cost_ops.MEASURES)
@@ -353,34 +353,57 @@ def _category_levels(t: Inputs) -> DataFrame:
     narrow = categorized(t).groupBy(*cost_ops.CATEGORY_LEVELS).agg(
         F.count(F.lit(1)).alias("n"), F.sum("AdjustedPriceAmt").alias("a")
     )
-    return cost_ops.category_levels(narrow).where(F.col("Category").isNotNull()).groupBy("Category_Type", "Category").agg(
+    return cost_ops.category_levels(narrow).groupBy("Category_Type", "Category").agg(
         F.sum("n").alias("Lines"), F.sum("a").alias("AdjustedPriceAmt")
     )
 
 
+def _cells(rows: DataFrame, *keys: str) -> DataFrame:
+    """All categories of a level in one row: how many, and their values as text in category order."""
+    cell = F.concat_ws("|", "Category", *[F.col(m).cast("decimal(18,2)").cast("string") for m in cost_ops.MEASURES])
+    return rows.groupBy(*keys, "Category_Type").agg(
+        F.count(F.lit(1)).alias("Categories"),
+        F.sum("AdjustedPriceAmt").alias("AdjustedPriceAmt"),
+        F.array_join(F.array_sort(F.collect_list(cell)), ";").alias("Cells"),
+    )
+
+
+def _cells_sql(rows: str, keys: str) -> str:
+    values = " || '|' || ".join(f"CAST(CAST({m} AS DECIMAL(18,2)) AS VARCHAR)" for m in cost_ops.MEASURES)
+    return f"""
+    SELECT {keys}, Window_ AS "Window", Category_Type, count(*) AS Categories, sum(AdjustedPriceAmt) AS AdjustedPriceAmt,
+      array_to_string(list_sort(list(Category || '|' || {values})), ';') AS Cells
+    FROM ({rows}) GROUP BY ALL
+    """
+
+
+_CELLS_OUT = "Category_Type Categories:i AdjustedPriceAmt:m Cells"
+
+
 @register(
     "window_cost_pivot",
-    f"RecipientID Window:i Category_Type Category {_MEASURE_OUT}",
-    f"""
-    SELECT p.RecipientID, p.Window_ AS "Window", k.*, {', '.join(f'coalesce(m.{x}, 0) AS {x}' for x in cost_ops.MEASURES)}
-    FROM (SELECT DISTINCT RecipientID, Window_ FROM ref_monthly) p
-    CROSS JOIN (SELECT * FROM ref_categories WHERE Category_Type = 'Summary_Category') k
-    LEFT JOIN ref_monthly m ON m.RecipientID = p.RecipientID AND m.Window_ = p.Window_ AND m.Category_Type = k.Category_Type AND m.Category = k.Category
-    """,
+    f"RecipientID Window:i {_CELLS_OUT}",
+    _cells_sql(
+        f"""
+        SELECT p.RecipientID, p.Window_, k.*, {', '.join(f'coalesce(m.{x}, 0) AS {x}' for x in cost_ops.MEASURES)}
+        FROM (SELECT DISTINCT RecipientID, Window_ FROM ref_monthly) p CROSS JOIN ref_categories k
+        LEFT JOIN ref_monthly m ON m.RecipientID = p.RecipientID AND m.Window_ = p.Window_ AND m.Category_Type = k.Category_Type AND m.Category = k.Category
+        """,
+        "RecipientID",
+    ),
 )
 def _window_cost_pivot(t: Inputs) -> DataFrame:
-    return rolling.window_cost_pivot(rolling.monthly_costs(costs(t), ["Summary_Category"]))
+    return _cells(rolling.window_cost_pivot(monthly(t)), "RecipientID", "Window")
 
 
-_SUMMARY_ONLY = (
-    "SELECT *, Window_ AS \"Window\" FROM (SELECT * FROM ref_rolling WHERE Category_Type = 'Summary_Category')"
-)
+def monthly(t: Inputs) -> DataFrame:
+    """Monthly costs of all four levels, staged: several queries start from them."""
+    return t.stage("monthly_costs", lambda: rolling.monthly_costs(costs(t)))
 
 
-@register("rolling_12", f"RecipientID Category_Type Category Window:i {_MEASURE_OUT}", _SUMMARY_ONLY)
+@register("rolling_12", f"RecipientID Window:i {_CELLS_OUT}", _cells_sql("SELECT * FROM ref_rolling", "RecipientID"))
 def _rolling_12(t: Inputs) -> DataFrame:
-    """The summary level, which like every level covers all patients and windows."""
-    return rolling.rolling_12(rolling.monthly_costs(costs(t), ["Summary_Category"]))
+    return _cells(rolling.rolling_12(monthly(t)), "RecipientID", "Window")
 
 
 _DEMO = """
@@ -390,53 +413,82 @@ SELECT RecipientID, Population_Type, Diagnosis_Category, Program_Risk AS Risk, P
 
 @register(
     "demo_inner",
-    "Population_Type Gender Risk Window:i Category Rows:i AdjustedPriceAmt:m",
+    "Population_Type Gender Risk Window:i Category_Type Category Rows:i AdjustedPriceAmt:m",
     f"""
-    SELECT Population_Type, Gender, Risk, Window_ AS "Window", Category, count(*) AS "Rows", sum(AdjustedPriceAmt) AS AdjustedPriceAmt
-    FROM (SELECT * FROM ref_rolling WHERE Category_Type = 'Summary_Category') JOIN ({_DEMO}) USING (RecipientID) GROUP BY ALL
+    SELECT Population_Type, Gender, Risk, Window_ AS "Window", Category_Type, Category, count(*) AS "Rows", sum(AdjustedPriceAmt) AS AdjustedPriceAmt
+    FROM ref_rolling JOIN ({_DEMO}) USING (RecipientID) GROUP BY ALL
     """,
 )
 def _demo_inner(t: Inputs) -> DataFrame:
-    rows = rolling.rolling_12(rolling.monthly_costs(costs(t), ["Summary_Category"]))
-    return rolling.demo_inner(rows, labelled(t)).groupBy("Population_Type", "Gender", "Risk", "Window", "Category").agg(
+    people = rolling.demo_inner(rolling.rolling_12(monthly(t)), labelled(t))
+    return people.groupBy("Population_Type", "Gender", "Risk", "Window", "Category_Type", "Category").agg(
         F.count(F.lit(1)).alias("Rows"), F.sum("AdjustedPriceAmt").alias("AdjustedPriceAmt")
     )
 
 
+def _rounded_mean(units: str, millionths: int = 1_000_000) -> str:
+    """Text of the mean with six decimals, half up, in whole numbers."""
+    total = f"{millionths} * CAST(sum({units}) AS HUGEINT)"
+    mean = f"((2 * {total} + count(*)) // (2 * count(*)))"
+    return f"CAST({mean} // 1000000 AS VARCHAR) || '.' || lpad(CAST({mean} % 1000000 AS VARCHAR), 6, '0')"
+
+
 def _stats(group: list[str]) -> str:
     kind = "::".join(group) or "Holistic"
     subset = " || '::' || ".join(group) if group else "'Holistic'"
     return f"""
     SELECT '{kind}' AS Group_Type, {subset} AS Group_Subset, Category_Type, Category, Window_, count(*) AS N,
-      CAST(sum(AdjustedPriceAmt) AS DOUBLE) / count(*) AS AdjustedPriceAmt_Mean, stddev_samp(CAST(AdjustedPriceAmt AS DOUBLE)) AS AdjustedPriceAmt_Std,
-      CAST(sum(Encounter) AS DOUBLE) / count(*) AS Encounter_Mean, CAST(sum(Service_Count) AS DOUBLE) / count(*) AS Service_Count_Mean,
-      CAST(sum(Visit_Inpatient_Days) AS DOUBLE) / count(*) AS Visit_Inpatient_Days_Mean
+      {_rounded_mean('100 * AdjustedPriceAmt', 10000)} AS AdjustedPriceAmt_Mean, sum(AdjustedPriceAmt) AS Amount_, stddev_samp(CAST(AdjustedPriceAmt AS DOUBLE)) AS AdjustedPriceAmt_Std,
+      {_rounded_mean('Encounter')} AS Encounter_Mean, {_rounded_mean('Service_Count')} AS Service_Count_Mean,
+      {_rounded_mean('Visit_Inpatient_Days')} AS Visit_Inpatient_Days_Mean
     FROM ref_rolling_demo GROUP BY ALL HAVING Group_Subset IS NOT NULL
     """
 
 
 fragment("ref_rolling_demo", f"SELECT * FROM ref_rolling JOIN ({_DEMO}) USING (RecipientID)")
 _ALL_STATS = " UNION ALL ".join(_stats(g) for g in rolling.GROUPINGS)
-_STATS_OUT = (
-    "Group_Type Group_Subset Category_Type Category Window:i N:i AdjustedPriceAmt_Mean:g4 AdjustedPriceAmt_Std:g2 "
-    "Encounter_Mean:g4 Service_Count_Mean:g4 Visit_Inpatient_Days_Mean:g4"
-)
+_MEANS = ["AdjustedPriceAmt_Mean", "Encounter_Mean", "Service_Count_Mean", "Visit_Inpatient_Days_Mean"]
 
 
 @register(
     "rolling_group_stats",
-    _STATS_OUT,
-    f"SELECT *, Window_ AS \"Window\" FROM ({_ALL_STATS}) WHERE Category_Type = 'Summary_Category'",
+    "Group_Type Group_Subset Category_Type Window:i N:i Categories:i Cells",
+    f"""
+    SELECT Group_Type, Group_Subset, Category_Type, Window_ AS "Window", N, count(*) AS Categories,
+      array_to_string(list_sort(list(Category || '|' || {" || '|' || ".join(_MEANS)} || '|' ||
+        coalesce(CAST(CAST(round(AdjustedPriceAmt_Std, 4) AS DECIMAL(30,4)) AS VARCHAR), ''))), ';') AS Cells
+    FROM ({_ALL_STATS}) GROUP BY ALL
+    """,
 )
 def _rolling_group_stats(t: Inputs) -> DataFrame:
-    return rolling.rolling_group_stats(rolling.monthly_costs(costs(t), ["Summary_Category"]), labelled(t))
+    """All four levels; the categories of a group and window in one row, their means and deviation as text."""
+    stats = rolling.rolling_group_stats(monthly(t), labelled(t))
+    means = [F.round(m, 6).cast("decimal(30,6)").cast("string") for m in _MEANS]
+    deviation = F.coalesce(F.round("AdjustedPriceAmt_Std", 4).cast("decimal(30,4)").cast("string"), F.lit(""))
+    cell = F.concat_ws("|", "Category", *means, deviation)
+    return stats.groupBy("Group_Type", "Group_Subset", "Category_Type", "Window", "N").agg(
+        F.count(F.lit(1)).alias("Categories"), F.array_join(F.array_sort(F.collect_list(cell)), ";").alias("Cells")
+    )
+
+
+@register(
+    "rolling_patients",
+    f"RecipientID Population_Type Diagnosis_Category Risk Age_Category Gender Window:i {_CELLS_OUT}",
+    _cells_sql(
+        "SELECT * FROM ref_rolling_demo", "RecipientID, Population_Type, Diagnosis_Category, Risk, Age_Category, Gender"
+    ),
+)
+def _rolling_patients(t: Inputs) -> DataFrame:
+    """The patient table of a rolling run: all four levels with demographics."""
+    rows = analysis.rolling_run(categorized(t), t.in_patient)["patients"]
+    return _cells(rows, "RecipientID", "Population_Type", "Diagnosis_Category", "Risk", "Age_Category", "Gender", "Window")
 
 
 @register(
     "rolling_run",
-    "Group_Type Category_Type Window:i Groups:i N:i Amount:g2",
+    "Group_Type Category_Type Window:i Groups:i N:i Amount:f2",
     f"""
-    SELECT Group_Type, Category_Type, Window_ AS "Window", count(*) AS Groups, sum(N) AS N, sum(AdjustedPriceAmt_Mean * N) AS Amount
+    SELECT Group_Type, Category_Type, Window_ AS "Window", count(*) AS Groups, sum(N) AS N, CAST(sum(Amount_) AS DOUBLE) AS Amount
     FROM ({_ALL_STATS}) GROUP BY ALL
     """,
 )
@@ -444,7 +496,7 @@ def _rolling_run(t: Inputs) -> DataFrame:
     """All four levels and all eleven group lists, summarized per window."""
     stats = analysis.rolling_run(categorized(t), t.in_patient)["groups"]
     return stats.groupBy("Group_Type", "Category_Type", "Window").agg(
-        F.count(F.lit(1)).alias("Groups"), F.sum("N").alias("N"), F.sum(F.col("AdjustedPriceAmt_Mean") * F.col("N")).alias("Amount")
+        F.count(F.lit(1)).alias("Groups"), F.sum("N").alias("N"), F.sum("AdjustedPriceAmt_Sum").alias("Amount")
     )
 
 

@@ -482,16 +482,7 @@ def _demo_assembly(t: Inputs) -> DataFrame:
     """,
 )
 def _report_cohorts(t: Inputs) -> DataFrame:
-    people = demo(t)
-    chosen = {
-        "active": reports.report_cohorts(people),
-        "enrolled": reports.report_cohorts(people, reports.ENROLLED),
-        "engaged payer": reports.report_cohorts(people, reports.ENGAGED, reports.DEFAULT_PAYER),
-    }
-    first, *more = [df.select(F.lit(name).alias("Cohort"), "PatientID", "RecipientID") for name, df in chosen.items()]
-    for frame in more:
-        first = first.unionByName(frame)
-    return first
+    return reports.labelled_cohorts(demo(t)).select("Cohort", "PatientID", "RecipientID")
 
 
 @register(
@@ -570,7 +561,7 @@ def _rpt_payer_worker(t: Inputs) -> DataFrame:
 
 # Presentation tables.
 
-_VALUES = ["Low", "Medium", "High"]
+_VALUES = ["Low", "High"]  # the third value present shows under Other
 
 
 def _pct(n: str, total: str) -> str:
@@ -581,14 +572,14 @@ def _pct(n: str, total: str) -> str:
 @register(
     "crosstab_report",
     "Diagnosis_Category "
-    + " ".join(f"{v}:i {v}_Perc {v}_Text {v}_Heading" for v in _VALUES)
+    + " ".join(f"{v}:i {v}_Perc {v}_Text {v}_Heading" for v in [*_VALUES, "Other"])
     + " Total:i Total_Perc Total_Text",
     f"""
     WITH c AS (SELECT Diagnosis_Category, {', '.join(f"count(RecipientID) FILTER (Current_Risk = '{v}') AS {v}" for v in _VALUES)},
-      count(RecipientID) AS Total FROM in_patient GROUP BY Diagnosis_Category),
-    g AS (SELECT {', '.join(f'sum({v}) AS g{v}' for v in [*_VALUES, 'Total'])} FROM c)
-    SELECT c.*, {', '.join(f"{_pct(v, 'g' + v)} AS {v}_Perc, {v} || ' (' || {_pct(v, 'g' + v)} || ')' AS {v}_Text" for v in [*_VALUES, 'Total'])},
-      {', '.join(f"'{v} (n=' || g{v} || ') (%)' AS {v}_Heading" for v in _VALUES)} FROM c, g
+      count(RecipientID) FILTER (Current_Risk NOT IN ({', '.join(f"'{v}'" for v in _VALUES)})) AS Other, count(RecipientID) FILTER (Current_Risk IS NOT NULL) AS Total FROM in_patient GROUP BY Diagnosis_Category),
+    g AS (SELECT {', '.join(f'sum({v}) AS g{v}' for v in [*_VALUES, 'Other', 'Total'])} FROM c)
+    SELECT c.*, {', '.join(f"{_pct(v, 'g' + v)} AS {v}_Perc, {v} || ' (' || {_pct(v, 'g' + v)} || ')' AS {v}_Text" for v in [*_VALUES, 'Other', 'Total'])},
+      {', '.join(f"'{v} (n=' || g{v} || ') (%)' AS {v}_Heading" for v in [*_VALUES, 'Other'])} FROM c, g
     """,
 )
 def _crosstab_report(t: Inputs) -> DataFrame:
@@ -601,11 +592,11 @@ _MEDIAN_TEXT = "printf('%.2f', quantile_cont(v, 0.5)) || ' (' || printf('%.2f',
 
 @register(
     "describe_report",
-    "Group Description Final",
+    "Group Description Final Count:i Min:f4 Max:f4",
     f"""
     WITH r AS (SELECT RecordIDCd AS g, CAST(p_size AS DOUBLE) AS v FROM in_line UNION ALL SELECT 'Total', CAST(p_size AS DOUBLE) FROM in_line)
-    SELECT g AS "Group", 'p_size mean' AS Description, {_MEAN_TEXT} AS Final FROM r GROUP BY g
-    UNION ALL SELECT g, 'p_size median', {_MEDIAN_TEXT} FROM r GROUP BY g
+    SELECT g AS "Group", 'p_size mean' AS Description, {_MEAN_TEXT} AS Final, count(*) AS Count, min(v) AS Min, max(v) AS Max FROM r GROUP BY g
+    UNION ALL SELECT g, 'p_size median', {_MEDIAN_TEXT}, count(*), min(v), max(v) FROM r GROUP BY g
     """,
 )
 def _describe_report(t: Inputs) -> DataFrame:

@@ -13,7 +13,6 @@ from carespan.queries.claims import categorized
 from carespan.queries.registry import Inputs, fragment, register
 
 AS_OF = date.fromisoformat(RELEASE_DATE)
-RELEASES = list(range(2001, 2008))
 
 fragment(
     "ref_counts",
@@ -103,13 +102,21 @@ def _dx_inclusion_exclusion(t: Inputs) -> DataFrame:
     return dx.dx_inclusion_exclusion(counts(t), t.in_dx_primary)
 
 
+_LISTED = dx.PRIMARY_GROUPS[:-1]
+
+
 @register(
     "dx_flags",
-    "RecipientID " + " ".join(f"{g}:i" for g in dx.PRIMARY_GROUPS),
-    f"SELECT p.RecipientID, {_flags('primary', dx.PRIMARY_GROUPS)} FROM in_patient p",
+    "RecipientID " + " ".join(f"{g}:i" for g in _LISTED) + " Unlisted_Groups",
+    f"""
+    SELECT p.RecipientID, {_flags('primary', _LISTED)}, coalesce((SELECT string_agg(Group_Name, ',' ORDER BY Group_Name)
+      FROM ref_qualified_primary q WHERE q.RecipientID = p.RecipientID AND Group_Name NOT IN ({', '.join(f"'{g}'" for g in _LISTED)})), '') AS Unlisted_Groups
+    FROM in_patient p
+    """,
 )
 def _dx_flags(t: Inputs) -> DataFrame:
-    return dx.dx_flags(base_patients(t), counts(t), t.in_dx_primary, dx.PRIMARY_GROUPS)
+    """The last primary group is left off the list, so that it shows as an unlisted one."""
+    return dx.dx_flags(base_patients(t), counts(t), t.in_dx_primary, _LISTED)
 
 
 @register(
@@ -326,16 +333,17 @@ GROUP BY e.RecipientID, r.ReleaseNum
 
 @register(
     "risk_all_releases",
-    "RecipientID " + " ".join(f"RTO_{n}:i" for n in RELEASES) + " Total:i Pattern",
+    "RecipientID ReleaseNum:i Tier:i Total:i Pattern",
     f"""
-    WITH t AS ({_PER_RELEASE}), w AS (SELECT p.RecipientID, {', '.join(
-        f"coalesce(max(t.Tier) FILTER (t.ReleaseNum = {n}), 0) AS RTO_{n}" for n in RELEASES)}
-      FROM in_patient p LEFT JOIN t USING (RecipientID) GROUP BY p.RecipientID)
-    SELECT *, {' + '.join(f'RTO_{n}' for n in RELEASES)} AS Total, concat({', '.join(f'RTO_{n}' for n in RELEASES[:-1])}) AS Pattern FROM w
+    WITH t AS ({_PER_RELEASE}), w AS (SELECT p.RecipientID, r.ReleaseNum, coalesce(t.Tier, 0) AS Tier
+      FROM in_patient p CROSS JOIN in_release r LEFT JOIN t ON t.RecipientID = p.RecipientID AND t.ReleaseNum = r.ReleaseNum)
+    SELECT RecipientID, ReleaseNum, Tier, sum(Tier) OVER (PARTITION BY RecipientID) AS Total,
+      coalesce(string_agg(CAST(Tier AS VARCHAR), '') FILTER (ReleaseNum < (SELECT max(ReleaseNum) FROM in_release))
+        OVER (PARTITION BY RecipientID ORDER BY ReleaseNum ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING), '') AS Pattern FROM w
     """,
 )
 def _risk_all_releases(t: Inputs) -> DataFrame:
-    return risk.risk_all_releases(t.in_patient, daily(t), t.in_release, RELEASES)
+    return risk.risk_all_releases(t.in_patient, daily(t), t.in_release)
 
 
 # Patient labels.
@@ -462,17 +470,8 @@ _COMMANDS = [
     ),
 )
 def _population_label_value(t: Inputs) -> DataFrame:
-    """Every command's answer: the same operator once per (population, label, value)."""
-    named = [
-        pop.population_label_value(t.in_patient, p, k, v).select(
-            F.lit(p).alias("Population"), F.lit(k).alias("Label_Type"), F.lit(v).alias("Value"), "Count"
-        )
-        for p, k, v in _COMMANDS
-    ]
-    first, *more = named
-    for frame in more:
-        first = first.unionByName(frame)
-    return first
+    """Every command's answer from one counted table."""
+    return pop.population_label_values(t.in_patient, _COMMANDS)
 
 
 @register(

@@ -6,8 +6,6 @@ SQL result, so the two can be compared value by value:
 
   plain name  string        ``:i`` 64-bit integer     ``:m`` amount, 2 decimals as double
   ``:fN``     double rounded to N decimals            ``:d`` date as yyyy-MM-dd text
-  ``:gN``     the same, nudged up by a hundred-thousandth of the last decimal, so that exact
-              halves round alike whichever order the doubles were summed in
   ``:t``      timestamp as text to the second         ``:b`` boolean as 0/1
 
 SQL may mention bound inputs (``in_*``) and shared fragments (``ref_*``); the
@@ -100,8 +98,6 @@ def _portable(name: str, kind: str) -> Column:
         c = F.round(c.cast("decimal(38,6)"), 2).cast("double")
     elif kind.startswith("f"):
         c = F.round(c.cast("double"), int(kind[1:]))
-    elif kind.startswith("g"):
-        c = F.round(c.cast("double") + 10.0 ** -(int(kind[1:]) + 5), int(kind[1:]))
     elif kind == "d":
         c = F.date_format(c, "yyyy-MM-dd")
     elif kind == "t":
@@ -121,8 +117,6 @@ def _portable_sql(name: str, kind: str) -> str:
         c = f"CAST(round(CAST({c} AS DECIMAL(38,6)), 2) AS DOUBLE)"
     elif kind.startswith("f"):
         c = f"round(CAST({c} AS DOUBLE), {kind[1:]})"
-    elif kind.startswith("g"):
-        c = f"round(CAST({c} AS DOUBLE) + 1e-{int(kind[1:]) + 5}, {kind[1:]})"
     elif kind == "d":
         c = f"strftime({c}, '%Y-%m-%d')"
     elif kind == "t":

@@ -7,11 +7,13 @@ set here except the UTC time zone.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
+_LOCAL: list[tempfile.TemporaryDirectory] = []
 
 def build_session(app: str = "carespan", cpus: int | None = None) -> SparkSession:
     cores = str(cpus) if cpus else "*"
@@ -36,14 +38,17 @@ def build_session(app: str = "carespan", cpus: int | None = None) -> SparkSessio
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    Only when the session names none (local tests) is a temporary one made.
+    A session with local threads (tests, trials) that names none gets a temporary one for the
+    life of the process; on a cluster the name is required.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
-        context = spark.sparkContext
-        if context.getCheckpointDir() is None:
-            context.setCheckpointDir(tempfile.mkdtemp(prefix="carespan-"))
-        folder = context.getCheckpointDir()
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"set spark.checkpoint.dir to a folder that the driver and all executors of {master} share")
+        if not _LOCAL:
+            _LOCAL.append(tempfile.TemporaryDirectory(prefix="carespan-", ignore_cleanup_errors=True))
+        folder = _LOCAL[0].name
     return folder
 
 

@@ -171,8 +171,9 @@ def test_attach_summary_with_a_hot_key(spark, monkeypatch):
         F.when(F.col("id") % 3 == 0, "hot").when(F.col("id") % 100 == 1, F.lit(None)).otherwise(F.concat(F.lit("k"), F.col("id") % 1900)).alias("k"),
         "id",
     )
-    for share in (1000, 10, 10**9):
-        monkeypatch.setattr(skew, "HOT_SHARE", share)
+    for hot_rows, most_hot in ((1_000_000, 100_000), (3, 100_000), (50, 4)):
+        monkeypatch.setattr(skew, "HOT_ROWS", hot_rows)
+        monkeypatch.setattr(skew, "MOST_HOT", most_hot)
         summary = skew.summarize(rows, ["k"], F.max("id").alias("top"))
         ours = skew.attach_summary(rows, summary, ["k"])
         plain = rows.join(summary.drop("_rows"), "k", "left")

@@ -1,5 +1,6 @@
 """Hand-worked pre/post, rolling, utilization and follow-up results, with brute-force checks."""
 
+import math
 import random
 import statistics
 from collections import defaultdict
@@ -25,9 +26,8 @@ def brute_rolling(rows):
     spent, patients, categories = defaultdict(Decimal), defaultdict(set), set()
     for p, w, c, a in rows:
         patients[p].add(w)
-        if c:
-            spent[p, c, w] += Decimal(a)
-            categories.add(c)
+        spent[p, c or "Uncategorized", w] += Decimal(a)
+        categories.add(c or "Uncategorized")
     last = max(w for _, w, _, _ in rows)
     return {
         (p, c, w): sum((spent[p, c, v] for v in range(w - 11, w + 1)), Decimal(0))
@@ -54,6 +54,26 @@ def test_rolling_equals_direct_sums(spark, seed):
     assert out == brute_rolling(rows)
 
 
+def test_categories_add_up_at_every_level(spark):
+    rows = [(p, w, c, "OUTPATIENT", d, "Y", Decimal(a), 1, 2, 0) for k, (p, w, c, a) in enumerate(random_costs(7)) for d in [None if k % 5 == 0 else "X"]]
+    totals = defaultdict(Decimal)
+    for r in rolling.rolling_12(rolling.monthly_costs(spark.createDataFrame(rows, MONTHLY))).collect():
+        totals[r.RecipientID, r.Window, r.Category_Type] += r.AdjustedPriceAmt
+    assert {k[2] for k in totals} == {"Summary_Category", "Category1", "Category2", "Category3"}
+    for (p, w, _), amount in totals.items():
+        assert amount == sum((r[6] for r in rows if r[0] == p and w - 11 <= r[1] <= w), Decimal(0))
+
+
+def test_spread_of_large_nearly_equal_amounts(spark):
+    costs = spark.range(20_000).selectExpr("cast(id as string) RecipientID", "0 Window", "'ED' Summary_Category", "'A' Category1", "'B' Category2", "'C' Category3",
+        "cast(90000000.00 + 0.01 * (id % 2) as decimal(18,2)) AdjustedPriceAmt", "1 Encounter", "1L Service_Count", "0 Visit_Inpatient_Days")
+    people = costs.selectExpr("RecipientID", "'Engaged' Population_Type", "'Asthma' Diagnosis_Category", "'Low' Program_Risk", "'0-1' Program_Age_Category", "if(cast(RecipientID as int) % 3 = 0, 'Male', 'Female') Gender")
+    later = costs.selectExpr("RecipientID", "11 Window", "'ED' Summary_Category", "'A' Category1", "'B' Category2", "'C' Category3", "cast(0 as decimal(18,2)) AdjustedPriceAmt", "0 Encounter", "0L Service_Count", "0 Visit_Inpatient_Days")
+    stats = rolling.rolling_group_stats(rolling.monthly_costs(costs.unionByName(later), ["Summary_Category"]), people)
+    row = stats.where("Group_Type = 'Holistic' AND Window = 11").first()
+    assert row.N == 20_000 and row.AdjustedPriceAmt_Std == pytest.approx(0.005 * math.sqrt(20_000 / 19_999), rel=1e-6)
+
+
 def test_rolling_does_not_depend_on_batches(spark):
     rows = random_costs(3)
     # The last window and the categories are global, so both halves get one patient that has them all.
@@ -79,7 +99,7 @@ def test_group_stats_equal_statistics_over_dense_rows(spark):
         assert values and set(values) == {k for k in out if k[0] == kind}
         for k, v in values.items():
             assert out[k].N == len(v)
-            assert out[k].AdjustedPriceAmt_Mean == pytest.approx(statistics.fmean(v))
+            assert float(out[k].AdjustedPriceAmt_Mean) == pytest.approx(statistics.fmean(v))
             expected = statistics.stdev(v) if len(v) > 1 else None
             assert out[k].AdjustedPriceAmt_Std == (pytest.approx(expected, abs=1e-6) if expected is not None else None)
 

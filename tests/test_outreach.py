@@ -1,5 +1,6 @@
 """Questionnaires, contacts, attendance, text cleaners and presentation tables."""
 
+import math
 import random
 from datetime import date, datetime
 
@@ -155,6 +156,10 @@ def test_presentation_tables(spark):
     table = {r.k: r for r in crosstab_report(df, "g", "k", ["x", "y"], "v").collect()}
     assert (table["a"].x, table["a"].x_Text, table["b"].y_Text, table["a"].Total_Text) == (2, "2 (66.7%)", "0 (0.0%)", "3 (75.0%)")
     assert table["b"].x_Heading == "x (n=3) (%)"
+    more = df.union(spark.createDataFrame([("new", "a", 1.0), ("new", "only new", 1.0), (None, "only null", 1.0)], df.schema))
+    table = {r.k: r for r in crosstab_report(more, "g", "k", ["x", "y"], "v").collect()}
+    assert {k: (r.x, r.y, r.Other, r.Total) for k, r in table.items()} == {"a": (2, 1, 1, 4), "b": (1, 0, 0, 1), "only new": (0, 0, 1, 1), "only null": (0, 0, 0, 0)}
+    assert [(r.Count, r.Min, r.Max) for r in describe_report(df, "g", "v", "mean").where("Group = 'Total'").collect()] == [(4, 1.0, 10.0)]
     assert {r.Group: r.Final for r in describe_report(df, "g", "v", "median").collect()} == {"x": "1.00 (1.00, 2.00)", "y": "10.00 (10.00, 10.00)", "Total": "2.00 (1.00, 4.75)"}
     assert {r.Group: r.Final for r in describe_report(df, "g", "v", "mean").collect()}["x"] == "1.67 (1.15)"
 
@@ -165,20 +170,29 @@ def test_paired_comparison(spark):
     assert (row.n, row.First_Mean, row.Second_Mean) == (4, 2.5, 3.75)
     assert row.T_Statistic == pytest.approx(-2.6111648) and row.p_value == pytest.approx(0.0796, abs=1e-3)
     assert row.CI_95 == pytest.approx(1.98 * row.SE_diff)
-    assert two_sided_p(2.228, 10) == pytest.approx(0.05, abs=1e-4) and two_sided_p(0.0, 4) == 1.0
+
+
+def test_p_values(spark):
+    # Known values, the closed forms for one and two degrees, and the normal law for very many.
+    cases = [(2.228138851964939, 10, 0.05), (0.0, 4, 1.0), (1.0, 1, 0.5), (-3.0, 2, 1 - 3 / math.sqrt(11)), (1.959963984540054, 10**9, 0.05),
+             (5.0, 10**10, math.erfc(5 / math.sqrt(2))), (1e4, 1, 2 / math.pi * math.atan(1e-4))]
+    df = spark.createDataFrame([(t, n, p) for t, n, p in cases] + [(None, 3, None), (float("nan"), 3, None), (1.0, 0, None)], "t double, n long, p double")
+    for r in df.withColumn("ours", two_sided_p(F.col("t"), F.col("n"))).collect():
+        assert r.ours is None if r.p is None else r.ours == pytest.approx(r.p, rel=1e-7, abs=1e-12)
 
 
 def test_exact_quantiles(spark):
     pick = random.Random(5)
     rows = [(pick.choice("abb"), round(pick.choice([1, 1000, 0.01]) * pick.uniform(-5, 5), 3)) for _ in range(400)]
+    rows += [("narrow", 100.001 + k * 1e-9) for k in range(900)] + [("last bits", 1.0 + k * 2.0**-52) for k in range(9)]
     rows += [("one", 7.0), ("zero", 0.0), ("zero", 0.0), ("pow", 999.9999999), ("pow", 1000.0), ("pow", 1000.1)]
     df = spark.createDataFrame(rows, "g string, v double")
     probabilities = [0.0, 0.25, 0.5, 0.75, 1.0]
-    ours = {r.g: r.quantiles for r in exact_quantiles(df, "g", "v", probabilities).collect()}
+    ours = {r.g: r.quantiles for r in exact_quantiles(df.groupBy("g", "v").agg(F.count("*").alias("n")), "g", "v", probabilities).collect()}
     expected = df.groupBy("g").agg(F.percentile("v", F.array(*map(F.lit, probabilities))).alias("q"))
     for r in expected.collect():
         assert ours[r.g] == pytest.approx(r.q)
-    assert len(ours) == 5
+    assert len(ours) == 7
 
 
 def test_hot_group_description(spark):

@@ -98,10 +98,19 @@ def test_release_risks_join_on_the_patient(spark):
         [(1, date(2015, 1, 1)), (2, date(2016, 1, 1)), (3, date(2017, 1, 1))], "ReleaseNum int, HFS_Release_Date date"
     )
     events = daily(spark, ("b", date(2014, 6, 1), 0, 1), ("b", date(2016, 6, 1), 2, 0), ("a", date(2016, 1, 1), 1, 0))
-    out = {r.RecipientID: r for r in risk.risk_all_releases(patients, events, releases, [1, 2, 3]).collect()}
-    assert tuple(out["b"])[1:] == (5, 0, 7, 12, "50")  # the pattern leaves the latest release out
-    assert tuple(out["a"])[1:] == (0, 5, 5, 10, "05")
-    assert tuple(out["c"])[1:] == (0, 0, 0, 0, "00")
+    out = {(r.RecipientID, r.ReleaseNum): tuple(r)[2:] for r in risk.risk_all_releases(patients, events, releases).collect()}
+    # The pattern leaves the latest release out; every release of the table has its row.
+    assert [out["b", n] for n in (1, 2, 3)] == [(5, 12, "50"), (0, 12, "50"), (7, 12, "50")]
+    assert [out["a", n] for n in (1, 2, 3)] == [(0, 10, "05"), (5, 10, "05"), (5, 10, "05")]
+    assert [out["c", n] for n in (1, 2, 3)] == [(0, 0, "00")] * 3 and len(out) == 9
+
+
+def test_groups_left_off_the_list_are_named(spark):
+    patients = spark.createDataFrame([("a",), ("b",)], "RecipientID string")
+    table = spark.createDataFrame([("d1", "Asthma", "I"), ("d2", "New", "I"), ("d3", "Also", "I")], "Dx_Code string, Group_Name string, Incl_Excl string")
+    codes = counts(spark, [("a", "d1", 1), ("a", "d2", 1), ("a", "d3", 2)])
+    out = {r.RecipientID: tuple(r)[1:] for r in dx.dx_flags(patients, codes, table, ["Asthma"]).collect()}
+    assert out == {"a": (1, "Also,New"), "b": (0, "")}
 
 
 def test_score_takes_the_most_severe_code_per_group(spark):

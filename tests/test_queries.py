@@ -17,8 +17,10 @@ def duck():
     return connect(FOLDER)
 
 
-def test_every_query_has_sql_but_the_p_value():
-    assert set(QUERIES) - set(ORACLES) == {"paired_p_value"}
+def test_every_query_of_the_programme_has_sql():
+    import carespan.queries as registered
+
+    assert set(registered.QUERIES) == set(registered.oracle_sql())
 
 
 def test_survey_inventory_is_registered():
@@ -35,7 +37,7 @@ def test_entry_has_rows(spark):
     assert {r.Current_Risk for r in frame.collect()} <= {"Low", "Medium", "High"}
 
 
-@pytest.mark.parametrize("key", sorted(ORACLES))
+@pytest.mark.parametrize("key", sorted(k for k in ORACLES if not re.match(r"op\d+_|pipeline", k)))
 def test_matches_sql(spark, duck, key):
     frame = QUERIES[key](spark, FOLDER)
     plan = frame._jdf.queryExecution().executedPlan().toString()

@@ -110,11 +110,14 @@ def test_load_release_is_repeatable_and_audited(spark, tmp_path):
     assert spark.read.parquet(f"{target}/trc_hfs_main_claims").count() == 10
 
 
-def test_mismatch_drops_the_release_and_writes_no_audit(spark, tmp_path, monkeypatch):
+def test_mismatch_leaves_the_published_tables_untouched(spark, tmp_path, monkeypatch):
     extracts = write_extracts(spark, str(tmp_path / "in"), ["load_lead", "load_nips"])
     target = str(tmp_path / "raw")
     from carespan.plans import monthly_load
 
+    load_release(spark, extracts, target, "HFS", 2030, date(2016, 2, 1))
+    published = {t: sorted(map(str, spark.read.parquet(f"{target}/{t}").collect())) for t in ("trc_hfs_lead", "trc_hfs_nips", "hfs_load_count_info")}
+
     def lossy(session, path, layout):
         rows = read_extract(session, path, layout)
         return rows.where("RecipientID <> '3'") if layout.key == "load_lead" else rows
@@ -122,9 +125,8 @@ def test_mismatch_drops_the_release_and_writes_no_audit(spark, tmp_path, monkeyp
     monkeypatch.setattr(monthly_load, "read_extract", lossy)
     outcome = {r.Table_Name: r.Action for r in load_release(spark, extracts, target, "HFS", 2031, date(2016, 3, 1)).collect()}
     assert outcome == {"trc_hfs_lead": "delete", "trc_hfs_nips": "keep"}
-    assert not (tmp_path / "raw" / "trc_hfs_lead" / "DataSource=HFS" / "ReleaseNum=2031").exists()
-    assert (tmp_path / "raw" / "trc_hfs_nips" / "DataSource=HFS" / "ReleaseNum=2031").exists()
-    assert not (tmp_path / "raw" / "hfs_load_count_info").exists()
+    assert {t: sorted(map(str, spark.read.parquet(f"{target}/{t}").collect())) for t in published} == published
+    assert published["hfs_load_count_info"] and not (tmp_path / "raw" / "trc_hfs_nips" / "DataSource=HFS" / "ReleaseNum=2031").exists()
 
 
 def test_delete_release(spark):
@@ -168,3 +170,19 @@ def test_configuration_files(spark):
     assert items.count() == sum(len(q) for s in QUESTIONS.values() for q in s.values())
     assert items.where("Instrument = 'PSC'").select("Scale").distinct().count() == 3
     assert items.where((F.col("Instrument") == "ACT") & (F.col("Item") == 5)).first().Scale == "Total"
+
+
+def test_a_cluster_needs_a_shared_folder():
+    from types import SimpleNamespace
+
+    from carespan.session import shared_folder
+
+    def session(master, folder=None):
+        context = SimpleNamespace(master=master, getCheckpointDir=lambda: None)
+        return SimpleNamespace(sparkContext=context, conf=SimpleNamespace(get=lambda key, default: folder))
+
+    assert shared_folder(session("yarn", "hdfs:///shared")) == "hdfs:///shared"
+    assert shared_folder(session("local[4]")) == shared_folder(session("local"))
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1000]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            shared_folder(session(master))
