@@ -7,11 +7,8 @@ from datetime import date
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from carespan.functions.instruments import QUESTIONS, config_json
-from carespan.functions.lookups import fixed_table
-from carespan.operators.cdps import group_lines, weight_lines
 from carespan.operators.keys import CLAIM_KEY
-from carespan.queries.bindings import BINDINGS, KEY, Fixed
+from carespan.queries.bindings import BINDINGS, KEY
 from carespan.queries.registry import Inputs, register
 from carespan.session import fresh_path
 from carespan.sources import releases, tables
@@ -245,49 +242,54 @@ def _patient_level_load(t: Inputs) -> DataFrame:
     return loaded.groupBy("RecordIDCd").agg(F.count(F.lit(1)).alias("n"), F.sum("NetLiabilityAmt").alias("Amount"))
 
 
-def _weights_sql() -> str:
-    from carespan.operators.cdps import GROUP_LINES, WEIGHT_LINES
+def _lines(t: Inputs, rows: DataFrame, name: str) -> DataFrame:
+    """The text column ``value`` of the rows, written as a file and read again."""
+    path = fresh_path(t.spark, name)
+    rows.select("value").write.text(path)
+    return t.spark.read.text(path)
 
-    weights = dict(line.replace("'", "").split("=") for line in WEIGHT_LINES)
-    rows = [(g, s, c, float(weights[c])) for g, line in enumerate(GROUP_LINES) for s, c in enumerate(line.split())]
-    BINDINGS["in_cdps_codes"] = Fixed("Group_ int, Severity int, Code string, Weight double", tuple(rows))
-    return """
-    SELECT d.DiagCd, c.Group_ AS "Group", c.Severity, m.Code, c.Weight, count(*) AS Lines
-    FROM in_diagnosis d JOIN in_cdps_map m ON m.ICD = d.DiagCd JOIN in_cdps_codes c ON c.Code = m.Code
-    GROUP BY ALL
-    """
 
+# Code lines quoted and closed in every way that occurs, and some that are none.
+_CODE_LINE = """CASE p_partkey % 7 WHEN 0 THEN concat('K', p_partkey, ' ', p_size) WHEN 1 THEN concat('K', p_partkey, '=', p_size, '.5')
+  WHEN 2 THEN concat("'K", p_partkey, "' = ", p_size, '.5;') ELSE concat("'K", p_partkey, "'='", p_size, ".5';  ") END"""
 
-@register("code_lookup_scan", "DiagCd Group:i Severity:i Code Weight:f3 Lines:i", _weights_sql())
-def _code_lookup_scan(t: Inputs) -> DataFrame:
-    """Parsed code files, shown beside the diagnosis lines that use them."""
-    weights = code_values(weight_lines(t.spark)).withColumn("Weight", F.col("Value").cast("double"))
-    parsed = severity_groups(group_lines(t.spark)).join(F.broadcast(weights), "Code")
-    used = t.in_diagnosis.groupBy("DiagCd").agg(F.count(F.lit(1)).alias("Lines"))
-    return used.join(t.in_cdps_map, used["DiagCd"] == F.col("ICD")).join(F.broadcast(parsed), "Code")
-
-
-def _config_sql() -> str:
-    items = [
-        (instrument, scale, i, text)
-        for instrument, scales in QUESTIONS.items()
-        for scale, texts in scales.items()
-        for i, text in enumerate(texts, 1)
-    ]
-    BINDINGS["in_question_items"] = Fixed("Instrument string, Scale string, Item int, QuestionText string", tuple(items))
-    return """
-    SELECT k.Instrument, k.Scale, k.Item, k.QuestionText, count(*) AS Answers
-    FROM in_question_items k JOIN in_question q ON q.QuestionText = k.QuestionText JOIN in_response r ON r.QuestionID = q.ID
-    GROUP BY ALL
+
+@register(
+    "code_lookup_scan",
+    "Group:i Severity:i Code Value",
     """
+    SELECT s_suppkey AS "Group", i AS Severity, Code, Value
+    FROM (SELECT s_suppkey, i, 'K' || ((s_suppkey * 7 + i * 13) % 200 + 1) AS Code FROM supplier, range(6) AS r(i))
+    JOIN (SELECT 'K' || p_partkey AS Code, p_size || '.5' AS Value FROM part WHERE p_partkey % 7 <> 0) USING (Code)
+    """,
+)
+def _code_lookup_scan(t: Inputs) -> DataFrame:
+    """Code values and severity lists, both parsed from text files made of the tables."""
+    values = code_values(_lines(t, t.part.select(F.expr(_CODE_LINE).alias("value")), "code_values"))
+    words = "array_join(transform(sequence(0, 5), i -> concat('K', (s_suppkey * 7 + i * 13) % 200 + 1)), '  ')"
+    numbered = _lines(t, t.supplier.select(F.expr(f"concat(s_suppkey, '\t ', {words}, ' ')").alias("value")), "code_groups")
+    parts = F.split("value", "\t")
+    listed = numbered.select(parts[0].alias("Group"), parts[1].alias("value"))
+    return severity_groups(listed).join(values, "Code")
 
 
-@register("assessment_config_scan", "Instrument Scale Item:i QuestionText Answers:i", _config_sql())
+@register(
+    "assessment_config_scan",
+    "Instrument Scale Item:i QuestionText",
+    """
+    SELECT 'I' || c_custkey AS Instrument, 'Total' AS Scale, i AS Item, 'Item "' || i || '" of ' || c_name AS QuestionText
+    FROM customer, range(1, 5) AS r(i) WHERE c_custkey % 2 = 1 AND i <= 2 + c_custkey % 3
+    UNION ALL SELECT 'I' || c_custkey, s.Scale, i, 'Item {' || i || '}, ' || s.Scale || ' é of ' || c_name
+    FROM customer, (VALUES ('First', 3), ('Second', 2)) AS s(Scale, n), range(1, 4) AS r(i) WHERE c_custkey % 2 = 0 AND i <= s.n
+    """,
+)
 def _assessment_config_scan(t: Inputs) -> DataFrame:
-    """Parsed questionnaire configuration with the number of answers to each item."""
-    config = assessment_config_scan(fixed_table(t.spark, "value string", [(config_json(),)]))
-    answers = t.in_response.groupBy(F.col("QuestionID").alias("ID")).agg(F.count(F.lit(1)).alias("Answers"))
-    return config.join(t.in_question, "QuestionText").join(answers, "ID")
+    """Questionnaire files, one JSON text for each customer: odd ones hold questions, even ones two scales of them."""
+    direct = """to_json(named_struct('Clean', transform(sequence(1, cast(2 + c_custkey % 3 as int)), i -> concat('Item "', i, '" of ', c_name))))"""
+    scale = "'{0}', named_struct('ScoreCol', '{0} Score', 'Clean', transform(sequence(1, {1}), i -> concat('Item {{', i, '}}, {0} é of ', c_name)))"
+    scales = f"to_json(map({scale.format('First', 3)}, {scale.format('Second', 2)}))"
+    value = f"""concat('{{"I', c_custkey, '": ', CASE WHEN c_custkey % 2 = 1 THEN {direct} ELSE {scales} END, '}}')"""
+    return assessment_config_scan(_lines(t, t.customer.select(F.expr(value).alias("value")), "questionnaires"))
 
 
 @register(
