@@ -44,9 +44,9 @@ from carespan.llm.storage import documents, kept, ship
 WINDOW = 200
 GRAM = 48
 REACH = WINDOW - GRAM
-BLOCK = 1 << 20  # anchors combined together in a task
-GROUP = 20_000  # most contexts of one anchor sorted in a task
-SORTED_AT_ONCE = 1 << 14
+BLOCK = 1 << 18  # anchors combined together in a task
+GROUP = 10_000  # most contexts of one anchor sorted in a task
+SORTED_AT_ONCE = 1 << 13
 
 
 def _runs_minimum(x: np.ndarray, width: int, pick) -> np.ndarray:
@@ -240,8 +240,11 @@ class Suffixes:
         return order
 
 
-def repeated_windows(groups: np.ndarray, contexts: list[bytes], lead: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(context index, j): windows from j bytes left of the anchor that another context of its group has, too."""
+def repeated_runs(groups: np.ndarray, contexts: list[bytes], lead: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context index, low, high): the windows that take low to high bytes left of the anchor are repeated.
+
+    A window is if another context of the group has it, too. Groups come in order.
+    """
     right = Suffixes([c[k:] for c, k in zip(contexts, lead)])
     left = Suffixes([c[:k][::-1] for c, k in zip(contexts, lead)])
     ranks = []
@@ -253,38 +256,49 @@ def repeated_windows(groups: np.ndarray, contexts: list[bytes], lead: np.ndarray
             common[1:][near] = side.verified(order[:-1][near], order[1:][near])
         ranks.append((order, common))
     (r_order, r_common), (l_order, l_common) = ranks
-    trail = right.length - GRAM
-    out_context, out_j = [], []
-    r_class, l_class = np.empty(len(groups), np.int64), np.empty(len(groups), np.int64)
-    for j in range(REACH + 1):
-        fits = np.flatnonzero((lead >= j) & (trail >= REACH - j))
+    heads = np.flatnonzero(np.concatenate([[True], groups[1:] != groups[:-1]]))
+    sizes = np.diff(np.append(heads, len(groups)))
+
+    # Two contexts: one extension to each side says it all.
+    pair = heads[sizes == 2]
+    low = np.maximum(GRAM + REACH - r_common[pair + 1], 0)
+    high = np.minimum(l_common[pair + 1], REACH)
+    pair, low, high = (x[low <= high] for x in (pair, low, high))
+    out = [(np.concatenate([pair, pair + 1]), np.tile(low, 2), np.tile(high, 2))]
+
+    # More: for each j, intervals of common prefixes on both sides.
+    many = np.repeat(sizes > 2, sizes)
+    at = np.flatnonzero(many)
+    new_index = np.cumsum(many) - 1
+    r_common, r_order = r_common[many[r_order]], new_index[r_order[many[r_order]]]
+    l_common, l_order = l_common[many[l_order]], new_index[l_order[many[l_order]]]
+    before, behind = lead[at], right.length[at] - GRAM
+    r_class, l_class = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
+    hits, js = [], []
+    for j in range(REACH + 1 if len(at) else 0):
+        fits = np.flatnonzero((before >= j) & (behind >= REACH - j))
         if len(fits) < 2:
             continue
         r_class[r_order] = np.cumsum(r_common < GRAM + REACH - j)
         l_class[l_order] = np.cumsum((l_common < j) | (l_common < 0))
-        both = r_class[fits] * (len(groups) + 1) + l_class[fits]
+        both = r_class[fits] * (len(at) + 1) + l_class[fits]
         order = np.argsort(both)
         both = both[order]
         same = np.zeros(len(both), bool)
         same[1:] = both[1:] == both[:-1]
         same[:-1] |= same[1:]
-        hit = fits[order[same]]
-        out_context.append(hit)
-        out_j.append(np.full(len(hit), j))
-    if not out_context:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(out_context), np.concatenate(out_j)
-
-
-def _covered(context: np.ndarray, j: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Runs of neighbouring windows as (context, bytes left of the anchor, end after it)."""
-    order = np.lexsort((j, context))
-    context, j = context[order], j[order]
-    new = np.ones(len(j), bool)
-    new[1:] = (context[1:] != context[:-1]) | (j[1:] != j[:-1] + 1)
-    heads = np.flatnonzero(new)
-    tails = np.append(heads[1:], len(j)) - 1
-    return context[heads], j[tails], WINDOW - j[heads]
+        hit = at[fits[order[same]]]
+        hits.append(hit)
+        js.append(np.full(len(hit), j))
+    if sum(map(len, hits)):
+        context, j = np.concatenate(hits), np.concatenate(js)
+        order = np.lexsort((j, context))
+        context, j = context[order], j[order]
+        new = np.ones(len(j), bool)
+        new[1:] = (context[1:] != context[:-1]) | (j[1:] != j[:-1] + 1)
+        first = np.flatnonzero(new)
+        out.append((context[first], j[first], j[np.append(first[1:], len(j)) - 1]))
+    return tuple(np.concatenate(x) for x in zip(*out))
 
 
 _SPAN = "doc_id long, text_key long, start long, stop long"
@@ -296,8 +310,8 @@ def _sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     def solve(table: pa.Table) -> pa.RecordBatch:
         lead = table["lead"].to_numpy().astype(np.int64)
-        context, j = repeated_windows(table["gram"].to_numpy(), [c.as_py() for c in table["bytes"].combine_chunks()], lead)
-        context, left, end = _covered(context, j)
+        context, low, high = repeated_runs(table["gram"].to_numpy(), table["bytes"].to_pylist(), lead)
+        left, end = high, WINDOW - low
         keep = ~table["settled"].to_numpy(zero_copy_only=False)[context]
         context, left, end = context[keep], left[keep], end[keep]
         place = table["place"].to_numpy()[context]
@@ -327,18 +341,22 @@ def _sort_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _cut_contexts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        table = {k: [] for k in ("doc_id", "text_key", "gram", "place", "lead", "settled", "bytes")}
-        for doc_id, key, text, wanted in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_key", "text", "wanted"))):
-            data = text.encode("utf-8", "surrogatepass")
-            for w in wanted:
-                place = w["place"]
-                table["doc_id"].append(doc_id)
-                table["text_key"].append(key)
-                for k in ("gram", "place", "lead", "settled"):
-                    table[k].append(w[k])
-                table["bytes"].append(data[place - w["lead"] : place + GRAM + w["trail"]])
-        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary())
-        yield pa.record_batch([pa.array(v, t) for v, t in zip(table.values(), kinds)], names=list(table))
+        for first in range(0, batch.num_rows, 256):
+            part = batch.slice(first, 256)
+            wanted = part.column("wanted")
+            rows = np.repeat(np.arange(part.num_rows), wanted.value_lengths().to_numpy())
+            flat = wanted.flatten()
+            place, lead, trail = (flat.field(k).to_numpy().astype(np.int64) for k in ("place", "lead", "trail"))
+            content = part.column("text").cast(pa.binary())
+            data = [content[k].as_buffer() for k in range(part.num_rows)]
+            cut = [data[r].slice(p - a, a + GRAM + b).to_pybytes() for r, p, a, b in zip(rows.tolist(), place.tolist(), lead.tolist(), trail.tolist())]
+            at = pa.array(rows)
+            yield pa.record_batch(
+                [part.column("doc_id").take(at), part.column("text_key").take(at)]
+                + [flat.field(k) for k in ("gram", "place", "lead", "settled")]
+                + [pa.array(cut, pa.binary())],
+                names=["doc_id", "text_key", "gram", "place", "lead", "settled", "bytes"],
+            )
 
 
 def _count_windows(contexts: DataFrame) -> DataFrame:

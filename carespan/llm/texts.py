@@ -2,7 +2,7 @@
 
 Texts are seen as UTF-8 bytes. A word is a longest run of bytes other than the six
 ASCII white-space characters (space and 0x09 to 0x0D). Work is cut into chunks of
-about two million bytes, so memory does not depend on batch sizes; a longer text is a
+about half a million bytes, so memory does not depend on batch sizes; a longer text is a
 chunk of its own and only its words' hashes are kept, block by block.
 
 Hashes are sums of a random 64-bit value per byte times a power of an odd number,
@@ -18,7 +18,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-CHUNK_BYTES = 1 << 21
+CHUNK_BYTES = 1 << 19
 
 _U = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
