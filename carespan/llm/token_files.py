@@ -15,8 +15,8 @@ file systems elsewhere.
 
 Encoding is the tokenizers library's. The byte-level pattern never joins a character that is no
 white space with white space behind it, so a text is cut there and each distinct cut piece is encoded
-once in a task (they are told apart by 64-bit hashes, see texts.py); a tokenizer of another
-kind encodes whole texts.
+once in a worker process (they are told apart by 64-bit hashes, see texts.py), many in one call, parted by the
+file's own special token; a tokenizer of another kind encodes whole texts.
 
 Nulls, ties and odd rows: a null text has only the end id; rows with a null doc_id come
 first; rows with equal ids come by text, each with its own entry; other columns are ignored; no rows make no
@@ -30,6 +30,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -45,7 +46,7 @@ from carespan.session import fresh_path
 END_ID = 2
 MAGIC = b"CSTOKID1"
 _HEADER = "<8sIIQQ"
-REMEMBERED = 1 << 20  # distinct pieces a task keeps
+REMEMBERED = 1 << 21  # distinct pieces a worker process keeps (about 100 MB)
 
 # White space of the byte-level pattern is cut off only behind characters that surely are none:
 # printable ASCII, and two-byte characters from U+00C0 on.
@@ -81,26 +82,45 @@ class Encoder:
             kind = json.load(f)
         pre = kind.get("pre_tokenizer") or {}
         self.cuts = kind.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space")
+        marks = [(t["content"], t["id"]) for t in kind.get("added_tokens") or () if t["special"] and not (t["lstrip"] or t["rstrip"])]
+        self.mark = marks[0] if marks else None
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.forget()
 
     def forget(self) -> None:
-        self.known: dict[int, int] = {}
-        self.flat = np.zeros(1 << 16, np.uint32)
-        self.begins, self.sizes = np.zeros(1 << 14, np.int64), np.zeros(1 << 14, np.int64)
-        self.used = 0
-
-    def _learn(self, keys: list[int], strings: list[str]) -> None:
-        for key, found in zip(keys, self.tokenizer.encode_batch_fast(strings, add_special_tokens=False)):
-            ids, at = found.ids, len(self.known)
-            while self.used + len(ids) > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            if at == len(self.begins):
-                self.begins, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.begins, self.sizes))
-            self.flat[self.used : self.used + len(ids)] = ids
-            self.begins[at], self.sizes[at] = self.used, len(ids)
-            self.known[key] = at
-            self.used += len(ids)
+        self.keys, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted keys, index of each
+        self.flat, self.begins, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of pieces one after another, and how many each has; the mark parts them within one call."""
+        if self.mark is None or any(self.mark[0] in p for p in pieces):
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+            return np.array([i for ids in found for i in ids], np.uint32), np.array([len(x) for x in found], np.int64)
+        text, number = self.mark
+        self.tokenizer.encode_special_tokens = False
+        (found,) = self.tokenizer.encode_batch_fast([text.join(pieces)], add_special_tokens=False)
+        self.tokenizer.encode_special_tokens = True
+        ids = np.array(found.ids, np.uint32)
+        parts = np.flatnonzero(ids == number)
+        edges = np.concatenate([[-1], parts, [len(ids)]])
+        return np.delete(ids, parts), np.diff(edges) - 1
+
+    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
+        if not pieces:
+            return
+        ids, sizes = self._ids(pieces)
+        at = np.searchsorted(self.keys, keys)
+        self.place = np.insert(self.place, at, len(self.sizes) + np.arange(len(keys)))
+        self.keys = np.insert(self.keys, at, keys)
+        self.begins = np.concatenate([self.begins, len(self.flat) + np.cumsum(sizes) - sizes])
+        self.sizes = np.concatenate([self.sizes, sizes])
+        self.flat = np.concatenate([self.flat, ids])
+
+    def _known(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return at, self.keys[at] == keys
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the rows in order, and how many each row has."""
@@ -111,29 +131,35 @@ class Encoder:
             return np.array([i for ids in found for i in ids], np.uint32), np.array([len(x) for x in found], np.int64)
         if len(data) == 0:
             return np.zeros(0, np.uint32), np.zeros(n, np.int64)
-        if len(self.known) > REMEMBERED:
+        if len(self.keys) > REMEMBERED:
             self.forget()
         starts, ends, rows = _pieces(data, offsets)
         keys = texts.mix(texts.span_hashes(texts.prefix_hashes(data), starts, ends) + (ends - starts).astype(np.uint64))
         distinct, first, back = np.unique(keys, return_index=True, return_inverse=True)
-        names = distinct.tolist()
-        fresh = [k for k, key in enumerate(names) if key not in self.known]
+        fresh = np.flatnonzero(~self._known(distinct)[1])
         raw = data.tobytes()
-        self._learn([names[k] for k in fresh], [raw[starts[first[k]] : ends[first[k]]].decode() for k in fresh])
-        index = np.array([self.known[key] for key in names], np.int64)[back]
+        at = first[fresh]
+        self._learn(distinct[fresh], [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist())])
+        index = self.place[self._known(distinct)[0]][back]
         sizes = self.sizes[index]
         until = np.cumsum(sizes)
         picked = np.repeat(self.begins[index] - (until - sizes), sizes) + np.arange(until[-1])
         return self.flat[picked], np.bincount(rows, weights=sizes, minlength=n).astype(np.int64)
 
 
+@cache
+def encoder_of(path: str) -> Encoder:
+    """The file's encoder, kept with its pieces by a worker process from task to task."""
+    return Encoder(path)
+
+
 def _file_system(path: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
 
 
 def _shard_writer(folder: str, tokenizer_path: str, end_id: int) -> Callable:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer_path)
+        encoder = encoder_of(tokenizer_path)
         kind = np.dtype("<u2" if encoder.width == 2 and end_id < 1 << 16 else "<u4")
         system, root = _file_system(folder)
         name, part, out = f"shard-{uuid.uuid4().hex}", None, None
