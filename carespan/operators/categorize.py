@@ -377,11 +377,9 @@ def categorize_claims(
     summary_map: DataFrame,
 ) -> DataFrame:
     """All three branches with price and summary category; keeps the claim columns."""
-    branches = (
-        op_categorize(claims, revenue, rules)
-        .unionByName(nips_categorize(claims, nips, procedures, rules))
-        .unionByName(ip_categorize(claims, institutional, revenue, procedures))
-    )
+    from carespan.operators.one_pass import categorize_all
+
+    branches = categorize_all(claims, institutional, revenue, procedures, nips, rules)
     priced = branches.withColumns(
         {
             "AdjustedPriceAmt": F.greatest("NetLiabilityAmt", "EncounterPriceAmt"),

@@ -202,3 +202,19 @@ def test_one_row_per_claim_key(spark):
 
     df = categorize(Inputs(spark, "/root/testdata/sf0.001"))
     assert df.groupBy(*CLAIM_KEY).count().where("count > 1").count() == 0
+
+
+def test_one_pass_equals_the_branches(spark):
+    from carespan.operators.one_pass import categorize_all
+    from carespan.queries.registry import Inputs
+
+    t = Inputs(spark, "/root/testdata/sf0.001")
+    detail = (t.in_claims, t.in_institutional, t.in_revenue, t.in_procedure, t.in_nips, t.in_bill_rules)
+    together = categorize_all(*detail)
+    branches = (
+        cat.op_categorize(t.in_claims, t.in_revenue, t.in_bill_rules)
+        .unionByName(cat.nips_categorize(t.in_claims, t.in_nips, t.in_procedure, t.in_bill_rules))
+        .unionByName(cat.ip_categorize(t.in_claims, t.in_institutional, t.in_revenue, t.in_procedure))
+    )
+    assert together.dtypes == branches.dtypes and together.count() == branches.count()
+    assert together.exceptAll(branches).count() == 0
