@@ -46,7 +46,7 @@ from carespan.session import fresh_path
 END_ID = 2
 MAGIC = b"CSTOKID1"
 _HEADER = "<8sIIQQ"
-REMEMBERED = 1 << 21  # distinct pieces a worker process keeps (about 100 MB)
+REMEMBERED = 1 << 19  # distinct pieces a worker process keeps (about 30 MB); beyond, the more used half stays
 
 # White space of the byte-level pattern is cut off only behind characters that surely are none:
 # printable ASCII, and two-byte characters from U+00C0 on.
@@ -89,7 +89,25 @@ class Encoder:
 
     def forget(self) -> None:
         self.keys, self.place = np.zeros(0, np.uint64), np.zeros(0, np.int64)  # sorted keys, index of each
-        self.flat, self.begins, self.sizes = np.zeros(0, np.uint32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.flat = np.zeros(0, np.uint32)
+        self.begins, self.sizes, self.uses = (np.zeros(0, np.int64) for _ in range(3))
+
+    def _stretch(self, index: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of the pieces one after another, and how many each has."""
+        sizes = self.sizes[index]
+        until = np.cumsum(sizes)
+        total = int(until[-1]) if len(until) else 0
+        return self.flat[np.repeat(self.begins[index] - (until - sizes), sizes) + np.arange(total)], sizes
+
+    def _prune(self) -> None:
+        """Keep the more used half of the pieces."""
+        keep = np.sort(np.argsort(self.uses, kind="stable")[len(self.uses) - REMEMBERED // 2 :])
+        moved = np.full(len(self.uses), -1, np.int64)
+        moved[keep] = np.arange(len(keep))
+        stays = moved[self.place] >= 0
+        self.keys, self.place = self.keys[stays], moved[self.place[stays]]
+        self.flat, self.sizes = self._stretch(keep)
+        self.begins, self.uses = np.cumsum(self.sizes) - self.sizes, self.uses[keep] // 2
 
     def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces one after another, and how many each has; the mark parts them within one call."""
@@ -114,6 +132,7 @@ class Encoder:
         self.keys = np.insert(self.keys, at, keys)
         self.begins = np.concatenate([self.begins, len(self.flat) + np.cumsum(sizes) - sizes])
         self.sizes = np.concatenate([self.sizes, sizes])
+        self.uses = np.concatenate([self.uses, np.zeros(len(sizes), np.int64)])
         self.flat = np.concatenate([self.flat, ids])
 
     def _known(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -132,7 +151,7 @@ class Encoder:
         if len(data) == 0:
             return np.zeros(0, np.uint32), np.zeros(n, np.int64)
         if len(self.keys) > REMEMBERED:
-            self.forget()
+            self._prune()
         starts, ends, rows = _pieces(data, offsets)
         keys = texts.mix(texts.span_hashes(texts.prefix_hashes(data), starts, ends) + (ends - starts).astype(np.uint64))
         distinct, first, back = np.unique(keys, return_index=True, return_inverse=True)
@@ -141,10 +160,9 @@ class Encoder:
         at = first[fresh]
         self._learn(distinct[fresh], [raw[a:b].decode() for a, b in zip(starts[at].tolist(), ends[at].tolist())])
         index = self.place[self._known(distinct)[0]][back]
-        sizes = self.sizes[index]
-        until = np.cumsum(sizes)
-        picked = np.repeat(self.begins[index] - (until - sizes), sizes) + np.arange(until[-1])
-        return self.flat[picked], np.bincount(rows, weights=sizes, minlength=n).astype(np.int64)
+        self.uses += np.bincount(index, minlength=len(self.uses))
+        ids, sizes = self._stretch(index)
+        return ids, np.bincount(rows, weights=sizes, minlength=n).astype(np.int64)
 
 
 @cache

@@ -69,7 +69,7 @@ def test_real_documents_and_files(spark):
             assert tokenizer.decode(shard[k][:-1].tolist(), skip_special_tokens=False) == texts_by_id[shard.doc_ids[k]]
 
 
-def test_forgetting_changes_nothing(monkeypatch):
+def test_keeping_few_pieces_changes_nothing(monkeypatch):
     monkeypatch.setattr(token_files, "REMEMBERED", 50)
     encoder = token_files.Encoder(PATH)
     for t in odd_texts(200):
