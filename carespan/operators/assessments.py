@@ -9,6 +9,7 @@ from __future__ import annotations
 from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from carespan.functions.instruments import (
@@ -49,16 +50,15 @@ RESPONSE_VALUES = [
 ]
 
 
-def assessment_join(
+def opened_questions(
     assessments: DataFrame,
     client_assessments: DataFrame,
     patients: DataFrame,
     questionnaires: DataFrame,
     questionnaire_questions: DataFrame,
     questions: DataFrame,
-    responses: DataFrame,
 ) -> DataFrame:
-    """Responses dated between an open assessment's creation and its end."""
+    """Open assessments with the questions they ask, a row each."""
     asked = (
         client_assessments.join(
             questionnaires, client_assessments["AssessmentName"] == questionnaires["QuestionnaireName"]
@@ -67,13 +67,19 @@ def assessment_join(
         .join(questionnaire_questions, "QuestionnaireID")
         .join(questions.select(F.col("ID").alias("QuestionID"), "QuestionText"), "QuestionID")
     )
-    opened = (
+    return (
         assessments.where(F.col("StatusCode").isin(OPEN_STATUSES))
         .join(patients.select(F.col("ID").alias("PatientID"), F.col("MedicaidNum").alias("MedicaidID")), "PatientID")
         .join(asked, "ClientAssessmentID")
-        .alias("a")
     )
-    answered = responses.alias("r")
+
+
+def assessment_join(opened: DataFrame, responses: DataFrame) -> DataFrame:
+    """Responses dated between an open assessment's creation and its end.
+
+    Its output grows with overlapping assessments; ``newest_responses`` gives what most need of it without the pairs.
+    """
+    opened, answered = opened.alias("a"), responses.alias("r")
     same = (
         (F.col("a.PatientID") == F.col("r.MedRecPatientID"))
         & (F.col("a.QuestionID") == F.col("r.QuestionID"))
@@ -111,6 +117,46 @@ def latest_response(responses: DataFrame) -> DataFrame:
     )
 
 
+ANSWER_VALUES = ["YesNo", "Range", "Text", "CUserID"]
+
+
+def newest_responses(opened: DataFrame, responses: DataFrame) -> DataFrame:
+    """``latest_response`` of the assessment join, without joining.
+
+    Assessments (at their end) and responses of a patient and question stand in one order of time.
+    A running maximum holds the newest response of each column so far; an assessment takes it
+    if it isn't older than the assessment. So there is one candidate for an assessment and question,
+    however many responses and other assessments overlap it.
+    """
+    ours = [c for c in RESPONSE_VALUES if c not in ANSWER_VALUES]
+    dated = responses.select(
+        F.col("MedRecPatientID").alias("PatientID"),
+        "QuestionID",
+        F.col("ResponseDate").alias("_at"),
+        F.lit(0).alias("_order"),
+        F.struct(F.col("ResponseDate").alias("at")).alias("_any"),
+        *[F.when(F.col(c).isNotNull(), F.struct(F.col("ResponseDate").alias("at"), F.col(c))).alias(f"_{c}") for c in ANSWER_VALUES],
+    )
+    ends = opened.select(
+        "PatientID",
+        "QuestionID",
+        F.col("EndDate").alias("_at"),
+        F.lit(1).alias("_order"),
+        F.struct("CTS", "AssessmentName", "QuestionText", *[F.col(c) for c in ours]).alias("a"),
+    )
+    so_far = W.partitionBy("PatientID", "QuestionID").orderBy("_at", "_order").rowsBetween(W.unboundedPreceding, 0)
+    seen = [c for c in dated.columns if c.startswith("_") and c not in ("_at", "_order")]
+    events = dated.unionByName(ends, allowMissingColumns=True).where("_at IS NOT NULL")
+    held = events.withColumns({c: F.max(c).over(so_far) for c in seen}).where("_order = 1")
+    held = held.withColumns({c: F.when(F.col(f"{c}.at") >= F.col("a.CTS"), F.col(c)) for c in seen}).where("_any IS NOT NULL")
+    own = [F.max(F.when(F.col(f"a.{c}").isNotNull(), F.struct("a.CTS", "_any.at", F.col(f"a.{c}").alias("v")))).alias(c) for c in ours]
+    answers = [F.max(F.when(F.col(f"_{c}").isNotNull(), F.struct("a.CTS", f"_{c}.at", F.col(f"_{c}.{c}").alias("v")))).alias(c) for c in ANSWER_VALUES]
+    latest = held.groupBy("PatientID", "a.AssessmentName", "a.QuestionText").agg(*own, *answers, F.max(F.struct("a.CTS", "_any.at")).alias("at"))
+    return latest.select(
+        *RESPONSE_KEY, *[F.col(f"{c}.v").alias(c) for c in RESPONSE_VALUES], F.col("at.CTS"), F.col("at.at").alias("ResponseDate")
+    )
+
+
 def answer_codes(questions: DataFrame, codes: DataFrame, code_values: DataFrame) -> DataFrame:
     """(QuestionText, IntegerValue) to answer text for questions with an answer list."""
     named = codes.where(F.col("CodeName").startswith(QUESTION_CODE_PREFIX)).select("CodeName")
@@ -127,10 +173,10 @@ def code_value_join(responses: DataFrame, answers: DataFrame) -> DataFrame:
     return responses.join(answers, match, "left").select(*[responses[c] for c in responses.columns], answers["Response"])
 
 
-def assessment_responses(joined: DataFrame, answers: DataFrame) -> DataFrame:
+def assessment_responses(opened: DataFrame, responses: DataFrame, answers: DataFrame) -> DataFrame:
     """Latest responses with yes/no answers folded into Range and answers spelled out."""
-    folded = joined.withColumn("Range", F.coalesce("YesNo", "Range"))
-    coded = code_value_join(latest_response(folded), answers)
+    folded = responses.withColumn("Range", F.coalesce("YesNo", "Range"))
+    coded = code_value_join(newest_responses(opened, folded), answers)
     return coded.withColumns(
         {
             "CUserID": F.trim(F.lower("CUserID")),

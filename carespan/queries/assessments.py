@@ -102,15 +102,19 @@ def _total(instrument: str) -> str:
     return f"SELECT PatientID, Sequence, Score AS Total_Score FROM ref_complete WHERE Instrument = '{instrument}'"
 
 
-def joined(t: Inputs) -> DataFrame:
-    return asm.assessment_join(
-        t.in_assessment, t.in_client_assessment, t.in_patient_ids, t.in_questionnaire, t.in_questionnaire_question, t.in_question, t.in_response
+def opened(t: Inputs) -> DataFrame:
+    return asm.opened_questions(
+        t.in_assessment, t.in_client_assessment, t.in_patient_ids, t.in_questionnaire, t.in_questionnaire_question, t.in_question
     )
 
 
+def joined(t: Inputs) -> DataFrame:
+    return asm.assessment_join(opened(t), t.in_response)
+
+
 def responses(t: Inputs) -> DataFrame:
     answers = asm.answer_codes(t.in_question, t.in_code, t.in_code_value)
-    return asm.assessment_responses(joined(t), answers)
+    return asm.assessment_responses(opened(t), t.in_response, answers)
 
 
 @register(
@@ -138,7 +142,7 @@ def _latest_response(t: Inputs) -> DataFrame:
     """,
 )
 def _code_value_join(t: Inputs) -> DataFrame:
-    latest = asm.latest_response(joined(t).withColumn("Range", F.coalesce("YesNo", "Range")))
+    latest = asm.newest_responses(opened(t), t.in_response.withColumn("Range", F.coalesce("YesNo", "Range")))
     return asm.code_value_join(latest, asm.answer_codes(t.in_question, t.in_code, t.in_code_value))
 
 

@@ -2,7 +2,7 @@
 
 import math
 import random
-from datetime import date, datetime
+from datetime import date, datetime, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -34,14 +34,38 @@ def test_latest_response_skips_nulls_column_by_column(spark):
     assert (row.Range, row.Text, row.StartDate) == (2, "new", date(2016, 1, 5))
 
 
+OPENED = "PatientID long, MedicaidID string, AssessmentName string, StartDate date, EndDate timestamp, StatusCode string, CTS timestamp, QuestionID int, QuestionText string"
+ANSWERED = "MedRecPatientID long, QuestionID int, ResponseDate timestamp, YesNo int, Range int, Text string, CUserID string"
+
+
 def test_yes_no_overrides_range_and_spells_answers(spark):
     answers = spark.createDataFrame([("q", 3, "Often")], "QuestionText string, IntegerValue int, Response string")
-    rows = [raw(1, 2, 3), raw(1, 2, 3, yes=0, question="r")]
-    out = {r.QuestionText: r for r in asm.assessment_responses(spark.createDataFrame(rows, RAW), answers).collect()}
+    opened = spark.createDataFrame([(1, None, "A", date(2016, 1, 1), datetime(2016, 1, 9), "New", datetime(2016, 1, 1), k, q) for k, q in ((1, "q"), (2, "r"))], OPENED)
+    given = spark.createDataFrame([(1, 1, datetime(2016, 1, 2), None, 3, None, " U "), (1, 2, datetime(2016, 1, 2), 0, 3, None, " U ")], ANSWERED)
+    out = {r.QuestionText: r for r in asm.assessment_responses(opened, given, answers).collect()}
     assert (out["q"].Range, out["q"].Response, out["q"].CUserID) == (3, "Often", "u")
     assert (out["r"].Range, out["r"].Response) == (0, "No")
 
 
+def test_newest_responses_equal_those_of_all_pairs(spark):
+    pick = random.Random(11)
+    day = lambda: datetime(2016, 1, 1) + timedelta(days=pick.randrange(40))
+    maybe = lambda v: None if pick.random() < 0.4 else v
+    opened, given = [], []
+    for p in range(12):
+        for _ in range(25):
+            start = day()
+            opened.append((p, maybe(str(p)), pick.choice("AB"), maybe(start.date()), maybe(start + timedelta(days=pick.randrange(15))), "New", maybe(start), pick.randrange(3), f"q{pick.randrange(2)}"))
+        given += [(p, pick.randrange(3), maybe(day()), maybe(pick.randrange(2)), maybe(pick.randrange(5)), maybe(pick.choice("xyz")), maybe("u")) for _ in range(60)]
+    # One patient with thousands of overlapping assessments and responses.
+    opened += [(99, None, "A", date(2016, 1, 1), datetime(2016, 3, 1), "New", datetime(2016, 1, 1) + timedelta(seconds=k % 7), 1, "q1") for k in range(2000)]
+    given += [(99, 1, datetime(2016, 2, 1) + timedelta(seconds=k % 50), None, k % 9, None, "u") for k in range(2000)]
+    o, r = spark.createDataFrame(opened, OPENED), spark.createDataFrame(given, ANSWERED)
+    pairs = asm.latest_response(asm.assessment_join(o, r))
+    ours = asm.newest_responses(o, r).select(*pairs.columns)
+    assert sorted(map(str, ours.collect())) == sorted(map(str, pairs.collect())) and pairs.count() > 40
+
+
 def answers(spark, patient_scores):
     """(patient, assessment, instrument, scale, answers) to latest responses"""
     rows = []
