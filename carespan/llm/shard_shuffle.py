@@ -27,6 +27,7 @@ from carespan.session import fresh_path
 
 SHARDS = 40
 BUCKET_BYTES = 8 << 20
+MOST_BUCKETS = 200_000  # beyond 1.6 TB buckets grow instead, to 500 MB at 100 TB
 ROW_BYTES = 16
 SEED = 17
 LAW = "rows"
@@ -39,7 +40,7 @@ def _size():
 def shuffled_shards(docs: DataFrame, shards: int = SHARDS, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
     """docs with its columns in ``row``, and the ``shard`` and ``slot`` of each."""
     total = docs.agg(F.sum(_size()).alias("bytes"), F.count("*").alias("rows")).first()
-    rows, buckets = total.rows, max(1, -(-(total.bytes or 0) // bucket_bytes))
+    rows, buckets = total.rows, max(1, min(-(-(total.bytes or 0) // bucket_bytes), MOST_BUCKETS))
     bucket = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "text"), F.lit(buckets))
     scattered = docs.select(bucket.alias("bucket"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     ordered = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
+import io
 import zipfile
 from pathlib import Path
 
+import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 
 import carespan
@@ -14,16 +15,26 @@ from carespan.session import fresh_path
 _SHIPPED: set[str] = set()
 
 
+def file_system(path: str) -> tuple[pyarrow.fs.FileSystem, str]:
+    """The file system of a path or URI, and the place in it."""
+    return pyarrow.fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+
+
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this package to the executors' Python workers, once per application."""
+    """Send this package to the executors' Python workers, over the shared folder, once per application."""
     if spark.sparkContext.applicationId not in _SHIPPED:
         _SHIPPED.add(spark.sparkContext.applicationId)
         root = Path(carespan.__file__).resolve().parent
-        place = Path(tempfile.mkdtemp(prefix="carespan-")) / "carespan.zip"
-        with zipfile.ZipFile(place, "w") as archive:
+        packed = io.BytesIO()
+        with zipfile.ZipFile(packed, "w") as archive:
             for file in sorted(root.rglob("*.py")):
                 archive.write(file, str(file.relative_to(root.parent)))
-        spark.sparkContext.addPyFile(str(place))
+        folder = fresh_path(spark, "llm-code")
+        system, place = file_system(folder)
+        system.create_dir(place, recursive=True)
+        with system.open_output_stream(f"{place}/carespan.zip") as out:
+            out.write(packed.getvalue())
+        spark.sparkContext.addPyFile(f"{folder}/carespan.zip")
     return spark
 
 

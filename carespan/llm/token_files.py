@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from carespan.llm import texts
-from carespan.llm.storage import documents, kept, ship
+from carespan.llm.storage import documents, file_system, kept, ship
 from carespan.session import fresh_path
 
 END_ID = 2
@@ -171,15 +171,11 @@ def encoder_of(path: str) -> Encoder:
     return Encoder(path)
 
 
-def _file_system(path: str) -> tuple[pa.fs.FileSystem, str]:
-    return pa.fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
-
-
 def _shard_writer(folder: str, tokenizer_path: str, end_id: int) -> Callable:
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = encoder_of(tokenizer_path)
         kind = np.dtype("<u2" if encoder.width == 2 and end_id < 1 << 16 else "<u4")
-        system, root = _file_system(folder)
+        system, root = file_system(folder)
         name, part, out = f"shard-{uuid.uuid4().hex}", None, None
         ids, counts = [], []
         for batch in batches:
@@ -240,7 +236,7 @@ class Shard:
     """One shard's documents, read in place."""
 
     def __init__(self, path: str):
-        system, root = _file_system(path)
+        system, root = file_system(path)
         index = _bytes(system, f"{root}.idx")
         magic, width, _, n, total = struct.unpack(_HEADER, index.slice(0, struct.calcsize(_HEADER)).to_pybytes())
         if magic != MAGIC:
