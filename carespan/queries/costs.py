@@ -456,7 +456,7 @@ _MEANS = ["AdjustedPriceAmt_Mean", "Encounter_Mean", "Service_Count_Mean", "Visi
     f"""
     SELECT Group_Type, Group_Subset, Category_Type, Window_ AS "Window", N, count(*) AS Categories,
       array_to_string(list_sort(list(Category || '|' || {" || '|' || ".join(_MEANS)} || '|' ||
-        coalesce(CAST(CAST(round(AdjustedPriceAmt_Std, 4) AS DECIMAL(30,4)) AS VARCHAR), ''))), ';') AS Cells
+        coalesce(CAST(CAST(round(AdjustedPriceAmt_Std * 1000 / pi()) AS BIGINT) AS VARCHAR), ''))), ';') AS Cells
     FROM ({_ALL_STATS}) GROUP BY ALL
     """,
 )
@@ -464,7 +464,8 @@ def _rolling_group_stats(t: Inputs) -> DataFrame:
     """All four levels; the categories of a group and window in one row, their means and deviation as text."""
     stats = rolling.rolling_group_stats(monthly(t), labelled(t))
     means = [F.round(m, 6).cast("decimal(30,6)").cast("string") for m in _MEANS]
-    deviation = F.coalesce(F.round("AdjustedPriceAmt_Std", 4).cast("decimal(30,4)").cast("string"), F.lit(""))
+    # In units of pi / 1000, so that no deviation of cents lies half way between two of them.
+    deviation = F.coalesce(F.round(F.col("AdjustedPriceAmt_Std") * 1000 / F.pi()).cast("bigint").cast("string"), F.lit(""))
     cell = F.concat_ws("|", "Category", *means, deviation)
     return stats.groupBy("Group_Type", "Group_Subset", "Category_Type", "Window", "N").agg(
         F.count(F.lit(1)).alias("Categories"), F.array_join(F.array_sort(F.collect_list(cell)), ";").alias("Cells")
