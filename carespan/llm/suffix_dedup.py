@@ -45,7 +45,7 @@ WINDOW = 200
 GRAM = 48
 REACH = WINDOW - GRAM
 BLOCK = 1 << 18  # anchors combined together in a task
-GROUP = 10_000  # most contexts of one anchor sorted in a task
+GROUP = 30_000  # most contexts of one anchor sorted in a task
 SORTED_AT_ONCE = 1 << 13
 
 
@@ -371,47 +371,73 @@ def _count_windows(contexts: DataFrame) -> DataFrame:
                 fits = np.flatnonzero((lead >= j) & (pieces.length - lead - GRAM >= REACH - j))
                 begin = pieces.start[fits] + lead[fits] - j
                 sums = texts.mix(texts.span_hashes(pieces.sums, begin, begin + WINDOW))
-                place = batch.column("place").to_numpy()[fits]
                 at = pa.array(fits)
                 yield pa.record_batch(
-                    [pa.array(texts.signed(texts.mix(sums ^ grams[fits]))), batch.column("doc_id").take(at), batch.column("text_key").take(at)]
-                    + [pa.array(place - j), batch.column("settled").take(at)],
-                    names=["window", "doc_id", "text_key", "start", "settled"],
+                    [pa.array(texts.signed(texts.mix(sums ^ grams[fits])))]
+                    + [batch.column(c).take(at) for c in ("doc_id", "text_key", "place", "settled")]
+                    + [pa.array(np.full(len(fits), j, np.int32))],
+                    names=["window", "doc_id", "text_key", "place", "settled", "j"],
                 )
 
-    found = contexts.mapInArrow(windows, "window long, doc_id long, text_key long, start long, settled boolean")
+    def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            taken = batch.column("taken")
+            rows = np.repeat(np.arange(batch.num_rows), taken.value_lengths().to_numpy())
+            stop = batch.column("place").to_numpy()[rows] - taken.flatten().to_numpy() + WINDOW
+            rows, start, stop = _united(rows, stop - WINDOW, stop)
+            at = pa.array(rows)
+            yield pa.record_batch(
+                [batch.column("doc_id").take(at), batch.column("text_key").take(at), pa.array(start), pa.array(stop)],
+                names=["doc_id", "text_key", "start", "stop"],
+            )
+
+    found = contexts.mapInArrow(windows, "window long, doc_id long, text_key long, place long, settled boolean, j int")
     often = found.groupBy("window").agg(F.count("*").alias("times")).where("times > 1")
-    return (
-        found.where("NOT settled")
-        .join(often, "window", "left_semi")
-        .select("doc_id", "text_key", "start", (F.col("start") + WINDOW).alias("stop"))
-    )
+    again = found.where("NOT settled").join(often, "window", "left_semi")
+    # At most 153 windows hold an anchor, so its list is short.
+    by_anchor = again.groupBy("doc_id", "text_key", "place").agg(F.collect_list("j").alias("taken"))
+    return by_anchor.mapInArrow(runs, _SPAN)
+
+
+def _united(rows: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of each row without overlaps or touching ends, in order."""
+    order = np.lexsort((start, rows))
+    rows, start, stop = rows[order], start[order], stop[order]
+    far = int(stop.max(initial=0)) + 1  # rows one behind the other on one line
+    reach = np.maximum.accumulate(rows * far + stop)
+    new = np.ones(len(rows), bool)
+    new[1:] = (rows[1:] != rows[:-1]) | (rows[1:] * far + start[1:] > reach[:-1])
+    first = np.flatnonzero(new)
+    last = np.append(first[1:], len(rows))[: len(first)] - 1
+    return rows[first], start[first], reach[last] - rows[first] * far
 
 
 def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        size, removed, runs, digest = [], [], [], []
-        for text, spans in zip(batch.column("text"), batch.column("spans")):
-            data = text.as_buffer().to_pybytes() if text.is_valid else b""
-            kept_parts, at, gone, n = [], 0, 0, 0
-            stop = -1
-            for s in sorted((x["start"], x["stop"]) for x in spans.as_py() or ()):
-                if s[0] > stop:
-                    if stop >= 0:
-                        at = stop
-                    kept_parts.append(data[at : s[0]])
-                    gone, n, stop = gone + s[1] - s[0], n + 1, s[1]
-                elif s[1] > stop:
-                    gone, stop = gone + s[1] - stop, s[1]
-            kept_parts.append(data[max(stop, 0) :])
-            size.append(len(data))
-            removed.append(gone)
-            runs.append(n)
-            digest.append(hashlib.sha256(b"".join(kept_parts)).hexdigest())
-        yield pa.record_batch(
-            [batch.column("doc_id"), *(pa.array(x, pa.int64()) for x in (size, removed, runs)), pa.array(digest, pa.string())],
-            names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
-        )
+        for k in range(0, batch.num_rows, 1024):
+            part = batch.slice(k, 1024)
+            spans = part.column("spans")
+            counts = spans.value_lengths().fill_null(0).to_numpy()
+            flat = spans.flatten()
+            rows = np.repeat(np.arange(part.num_rows), counts)
+            rows, start, stop = _united(rows, flat.field("start").to_numpy(), flat.field("stop").to_numpy())
+            runs = np.bincount(rows, minlength=part.num_rows)
+            removed = np.bincount(rows, weights=stop - start, minlength=part.num_rows).astype(np.int64)
+            ends = np.cumsum(runs)
+            size, digest = [], []
+            for text, a, b in zip(part.column("text").fill_null("").cast(pa.binary()), (ends - runs).tolist(), ends.tolist()):
+                data = memoryview(text.as_buffer())
+                left, at = hashlib.sha256(), 0
+                for x, y in zip(start[a:b].tolist(), stop[a:b].tolist()):
+                    left.update(data[at:x])
+                    at = y
+                left.update(data[at:])
+                size.append(len(data))
+                digest.append(left.hexdigest())
+            yield pa.record_batch(
+                [part.column("doc_id"), pa.array(size, pa.int64()), pa.array(removed), pa.array(runs.astype(np.int64)), pa.array(digest, pa.string())],
+                names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"],
+            )
 
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
