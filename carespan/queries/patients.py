@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from carespan.operators import cdps, diagnosis as dx, keys, patients as pat, population as pop, risk
-from carespan.queries.bindings import RELEASE_DATE
+from carespan.queries.bindings import BINDINGS, RELEASE_DATE, Fixed
 from carespan.queries.claims import categorized
 from carespan.queries.registry import Inputs, fragment, register
 
@@ -270,6 +270,11 @@ def _risk_engagement(t: Inputs) -> DataFrame:
     return risk.risk_engagement(t.in_patient, daily(t))
 
 
+_WEIGHTS = dict(line.replace("'", "").split("=") for line in cdps.WEIGHT_LINES)
+BINDINGS["in_cdps_codes"] = Fixed(
+    "Group_ int, Severity int, Code string, Weight double",
+    tuple((g, s, c, float(_WEIGHTS[c])) for g, line in enumerate(cdps.GROUP_LINES) for s, c in enumerate(line.split())),
+)
 fragment(
     "ref_cdps",
     """
