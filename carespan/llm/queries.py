@@ -10,6 +10,7 @@ from carespan.llm import (
     decontaminate,
     mixture,
     ngram_join,
+    personal_data,
     piece_counts,
     quality_rules,
     rule_ensemble,
@@ -30,6 +31,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_string_tiling_leaks": decontaminate.op8_string_tiling_leaks,
     "op9_two_pass_shards": shard_shuffle.op9_two_pass_shards,
     "op10_source_mixture": mixture.op10_source_mixture,
+    "op13_personal_data": personal_data.op13_personal_data,
 }
 
 ORACLES: dict[str, str] = {"op5_temporal_url_lists": url_lists.ORACLE, "op10_source_mixture": mixture.ORACLE}
