@@ -11,6 +11,7 @@ from carespan.llm import (
     mixture,
     ngram_join,
     personal_data,
+    periodic_runs,
     piece_counts,
     quality_rules,
     rule_ensemble,
@@ -31,6 +32,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_string_tiling_leaks": decontaminate.op8_string_tiling_leaks,
     "op9_two_pass_shards": shard_shuffle.op9_two_pass_shards,
     "op10_source_mixture": mixture.op10_source_mixture,
+    "op11_periodic_runs": periodic_runs.op11_periodic_runs,
     "op13_personal_data": personal_data.op13_personal_data,
 }
 
