@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from carespan.llm import (
+    collocations,
     decontaminate,
     mixture,
     ngram_join,
@@ -33,7 +34,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_two_pass_shards": shard_shuffle.op9_two_pass_shards,
     "op10_source_mixture": mixture.op10_source_mixture,
     "op11_periodic_runs": periodic_runs.op11_periodic_runs,
+    "op12_phrase_collocations": collocations.op12_phrase_collocations,
     "op13_personal_data": personal_data.op13_personal_data,
 }
 
-ORACLES: dict[str, str] = {"op5_temporal_url_lists": url_lists.ORACLE, "op10_source_mixture": mixture.ORACLE}
+ORACLES: dict[str, str] = {
+    "op5_temporal_url_lists": url_lists.ORACLE,
+    "op10_source_mixture": mixture.ORACLE,
+    "op12_phrase_collocations": collocations.ORACLE,
+}
