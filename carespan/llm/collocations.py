@@ -45,8 +45,8 @@ WIDTH = 5
 LEAST = 100  # occurrences of a candidate
 FIRST = 2000  # phrases of a language
 NO_LANG = "und"
-CHUNK_BYTES = 1 << 22
-PAIRS_AT_ONCE = 1 << 22  # summed up together in a task
+CHUNK_BYTES = 1 << 21
+PAIRS_AT_ONCE = 1 << 21  # summed up together in a task
 FILTER_BITS = 1 << 26  # of the bitmap of frequent pairs (8 MB)
 
 _END, _BLANK = 10, 32

@@ -35,7 +35,7 @@ from carespan.llm.storage import documents
 THRESHOLD = 80
 BEFORE = 60
 AFTER = 30
-BLOCK_BITS = 5
+BLOCK_BITS = 5  # running values are taken over blocks of 32, and blocks of blocks
 
 # The kinds in order, then patterns and words.
 BASE = ["email", "ip", "card", "phone"]
