@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from carespan.functions.dates import add_calendar_months, avg_months_between
 from carespan.functions.lookups import map_value
+from carespan.operators.cube import roll_up
 
 # Settlement lag, first bills, durations, measures, categories and group lists.
 SETTLEMENT_MONTHS = 6
@@ -172,36 +173,27 @@ def dense_group_cross(labels: DataFrame, by: Sequence[str], groupings: Sequence[
     return observed.select(*by, F.inline(sets)).select(*by, "Group_Type", F.explode("subsets").alias("Group_Subset"))
 
 
-def group_labels(groupings: Sequence[Sequence[str]]) -> Column:
-    """Array of (Group_Type, Group_Subset); the subset is NULL when any of its columns is."""
-    structs = []
-    for g in groupings:
-        parts = [F.col(g[0])]
-        for c in g[1:]:
-            parts += [F.lit("::"), F.col(c)]
-        structs.append(F.struct(F.lit("::".join(g)).alias("Group_Type"), F.concat(*parts).alias("Group_Subset")))
-    return F.array(*structs)
-
-
 def pre_post_groupings(individual: DataFrame, patients: DataFrame) -> DataFrame:
     """Mean of the twelve columns per group, measure and duration; unseen combinations count zero.
 
-    Grouping columns always start with Population_Type. All group lists, measures and
-    durations are one aggregation.
+    Grouping columns always start with Population_Type. Patient rows enter one aggregation, by all labels; the eight
+    group lists are rolled up from its rows.
     """
     groupings = [["Population_Type", *g] for g in GROUPINGS]
     label_columns = sorted({c for g in groupings for c in g})
     labels = grouping_columns(patients).select("RecipientID", *label_columns)
     labelled = individual.join(labels, "RecipientID")
     by = ["Duration", "ReleaseNum"]
-    means = (
-        labelled.select(*by, "Aggregation_Type", *COST_COLUMNS, F.inline(group_labels(groupings)))
-        .where(F.col("Group_Subset").isNotNull())
-        .groupBy(*by, "Aggregation_Type", "Group_Type", "Group_Subset")
-        .agg(
-            F.count(F.lit(1)).alias("N"),
-            *[F.round(F.sum(c) / F.count(F.lit(1)), 2).cast("decimal(28,2)").alias(c) for c in COST_COLUMNS],
-        )
+    keys = [*by, "Aggregation_Type"]
+    sums = [F.count(F.lit(1)).alias("N"), *[F.sum(c).alias(c) for c in COST_COLUMNS]]
+    finest = labelled.groupBy(*label_columns, *keys).agg(*sums)
+    rolled = roll_up(finest, groupings, keys, ["N", *COST_COLUMNS])
+    means = rolled.select(
+        *keys,
+        "Group_Type",
+        "Group_Subset",
+        "N",
+        *[F.round(F.col(c) / F.col("N"), 2).cast("decimal(28,2)").alias(c) for c in COST_COLUMNS],
     )
     one_measure = labelled.where(F.col("Aggregation_Type") == MEASURES[0])
     dense = dense_group_cross(one_measure, by, groupings).withColumn(

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from datetime import date
+from typing import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carespan.operators import costs as cost_ops
@@ -358,13 +359,31 @@ def _category_levels(t: Inputs) -> DataFrame:
     )
 
 
+def _cell(category: Column, measures: Sequence[Column]) -> Column:
+    """A category's measures as text, and its amount."""
+    text = F.concat_ws("|", category, *[m.cast("decimal(18,2)").cast("string") for m in measures])
+    amount = measures[0].cast("decimal(38,2)")
+    return F.struct(text.alias("text"), amount.alias("amount"))
+
+
+def _own_cell() -> Column:
+    return _cell(F.col("Category"), [F.col(m) for m in cost_ops.MEASURES])
+
+
+def _empty_cell(category: Column) -> Column:
+    zeros = "|0.00" * len(cost_ops.MEASURES)
+    return F.struct(F.concat(category, F.lit(zeros)).alias("text"), F.lit(0).cast("decimal(38,2)").alias("amount"))
+
+
 def _cells(rows: DataFrame, *keys: str) -> DataFrame:
     """All categories of a level in one row: how many, and their values as text in category order."""
-    cell = F.concat_ws("|", "Category", *[F.col(m).cast("decimal(18,2)").cast("string") for m in cost_ops.MEASURES])
-    return rows.groupBy(*keys, "Category_Type").agg(
-        F.count(F.lit(1)).alias("Categories"),
-        F.sum("AdjustedPriceAmt").alias("AdjustedPriceAmt"),
-        F.array_join(F.array_sort(F.collect_list(cell)), ";").alias("Cells"),
+    zero = F.lit(0).cast("decimal(38,2)")
+    return rows.select(
+        *keys,
+        "Category_Type",
+        F.size("cells").alias("Categories"),
+        F.aggregate("cells", zero, lambda a, c: (a + c["amount"]).cast("decimal(38,2)")).alias("AdjustedPriceAmt"),
+        F.array_join(F.array_sort(F.col("cells.text")), ";").alias("Cells"),
     )
 
 
@@ -393,7 +412,7 @@ _CELLS_OUT = "Category_Type Categories:i AdjustedPriceAmt:m Cells"
     ),
 )
 def _window_cost_pivot(t: Inputs) -> DataFrame:
-    return _cells(rolling.window_cost_pivot(monthly(t)), "RecipientID", "Window")
+    return _cells(rolling.window_cost_cells(monthly(t), _own_cell(), _empty_cell), "RecipientID", "Window")
 
 
 def monthly(t: Inputs) -> DataFrame:
@@ -403,7 +422,7 @@ def monthly(t: Inputs) -> DataFrame:
 
 @register("rolling_12", f"RecipientID Window:i {_CELLS_OUT}", _cells_sql("SELECT * FROM ref_rolling", "RecipientID"))
 def _rolling_12(t: Inputs) -> DataFrame:
-    return _cells(rolling.rolling_12(monthly(t)), "RecipientID", "Window")
+    return _cells(rolling.rolling_cells(monthly(t), _own_cell(), _empty_cell), "RecipientID", "Window")
 
 
 _DEMO = """
@@ -481,7 +500,7 @@ def _rolling_group_stats(t: Inputs) -> DataFrame:
 )
 def _rolling_patients(t: Inputs) -> DataFrame:
     """The patient table of a rolling run: all four levels with demographics."""
-    rows = analysis.rolling_run(categorized(t), t.in_patient)["patients"]
+    rows = analysis.rolling_run(categorized(t), t.in_patient, _own_cell(), _empty_cell)["patients"]
     return _cells(rows, "RecipientID", "Population_Type", "Diagnosis_Category", "Risk", "Age_Category", "Gender", "Window")
 
 
