@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from datetime import date
 
 from pyspark.sql import DataFrame
@@ -13,7 +14,7 @@ from carespan.queries.registry import Inputs, register
 from carespan.session import fresh_path
 from carespan.sources import releases, tables
 from carespan.sources.config_files import assessment_config_scan, code_values, severity_groups
-from carespan.sources.fixed_width import fixed_width_lines, fixed_width_scan, read_extract
+from carespan.sources.fixed_width import fixed_width_lines, fixed_width_scan, read_extract, reject_counts, scan_with_rejects
 from carespan.sources.layouts import LAYOUTS, Layout
 
 LOAD_DATE = date(2001, 9, 1)
@@ -311,6 +312,35 @@ def _report_sink(t: Inputs) -> DataFrame:
     f"SELECT {KEY}, UBTypeofBillCd FROM in_institutional WHERE PatientStatusCd IS NOT NULL",
 )
 def _catalog_scan(t: Inputs) -> DataFrame:
+    name = f"institutional_{uuid.uuid4().hex}"
+    tables.save_named_table(t.in_institutional, name, fresh_path(t.spark, "institutional"))
     return tables.catalog_scan(
-        t.in_institutional, [*CLAIM_KEY, "UBTypeofBillCd"], "PatientStatusCd IS NOT NULL", {"UBTypeofBillCd": "int"}
+        t.spark, name, [*CLAIM_KEY, "UBTypeofBillCd"], "PatientStatusCd IS NOT NULL", {"UBTypeofBillCd": "int"}, [name]
     )
+
+
+_ODD = {"ServiceThruDt": "03", "NetLiabilityAmt": "05"}  # fields made unreadable, on lines of that number
+_CHECKED = [f for f in LAYOUTS["load_main_claims"].fields if f.kind in "dn"]
+
+
+@register(
+    "rejected_fields",
+    "Table_Name Field Rejected:i",
+    " UNION ALL ".join(
+        f"SELECT 'trc_hfs_main_claims' AS Table_Name, '{f.name}' AS Field, "
+        f"(SELECT count(*) FROM in_load_main_claims WHERE ServiceLineNbr = '{_ODD.get(f.name, '')}') AS Rejected"
+        for f in _CHECKED
+    ),
+)
+def _rejected_fields(t: Inputs) -> DataFrame:
+    """Unreadable dates and numbers of an extract, counted for each field."""
+    layout = LAYOUTS["load_main_claims"]
+    value = F.col("value")
+    for f in _CHECKED:
+        if f.name in _ODD:
+            number = next(x for x in layout.fields if x.name == "ServiceLineNbr")
+            chosen = F.trim(F.substring("value", number.start, number.width)) == _ODD[f.name]
+            value = F.when(chosen, F.overlay(value, F.lit("?"), f.start, 1)).otherwise(value)
+    lines = fixed_width_lines(t.in_load_main_claims, layout).select(value.alias("value"))
+    scanned = scan_with_rejects(lines, layout)
+    return reject_counts({layout.table: scanned}, {layout.table: [f.name for f in _CHECKED]})

@@ -11,8 +11,12 @@ from carespan.sources.layouts import Field, Layout
 AMOUNT = "decimal(18,2)"
 
 
+def _text(raw: Column, field: Field) -> Column:
+    return F.trim(F.substring(raw, field.start, field.width))
+
+
 def _typed(raw: Column, field: Field) -> Column:
-    text = F.trim(F.substring(raw, field.start, field.width))
+    text = _text(raw, field)
     if field.kind == "d":
         return parse_iso_date(text)
     if field.kind == "n":
@@ -26,6 +30,38 @@ def fixed_width_scan(lines: DataFrame, layout: Layout, column: str = "value") ->
     return lines.select(*[_typed(raw, f).alias(f.name) for f in layout.fields])
 
 
+REJECTED = "_Rejected"
+
+
+def scan_with_rejects(lines: DataFrame, layout: Layout, column: str = "value") -> DataFrame:
+    """The scan with REJECTED, an array of (Field, Raw_Text): dates and numbers that are neither blank nor readable, NULL in their column."""
+    raw = F.col(column)
+    odd = [
+        F.when((_text(raw, f) != "") & _typed(raw, f).isNull(), F.struct(F.lit(f.name).alias("Field"), _text(raw, f).alias("Raw_Text")))
+        for f in layout.fields
+        if f.kind in "dn"
+    ]
+    none = F.array().cast("array<struct<Field:string,Raw_Text:string>>")
+    found = F.array_compact(F.array(*odd)) if odd else none
+    return lines.select(*[_typed(raw, f).alias(f.name) for f in layout.fields], found.alias(REJECTED))
+
+
+def rejected_fields(scanned: DataFrame, table: str) -> DataFrame:
+    """(Table_Name, Field, Raw_Text) of every field of ``scan_with_rejects`` that couldn't be read."""
+    return scanned.select(F.lit(table).alias("Table_Name"), F.inline(REJECTED))
+
+
+def reject_counts(scanned: dict[str, DataFrame], fields: dict[str, list[str]]) -> DataFrame:
+    """Rejects per table and field, 0 for fields without any, in one pass over each table."""
+    out = None
+    for table, rows in scanned.items():
+        counts = F.array(*[F.struct(F.lit(f).alias("Field"), F.col(f"_{k}").alias("Rejected")) for k, f in enumerate(fields[table])])
+        sums = [F.coalesce(F.sum(F.array_contains(F.col(f"{REJECTED}.Field"), f).cast("long")), F.lit(0)).alias(f"_{k}") for k, f in enumerate(fields[table])]
+        own = rows.agg(*sums).select(F.lit(table).alias("Table_Name"), F.inline(counts))
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 def read_extract(spark: SparkSession, path: str, layout: Layout) -> DataFrame:
     return fixed_width_scan(spark.read.text(path), layout)
 

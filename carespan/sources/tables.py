@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import re
 from datetime import date
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import AtomicType
 
 
 def table_query(spark: SparkSession, sql: str, date_columns: Sequence[str] = (), **frames: DataFrame) -> DataFrame:
@@ -19,13 +21,48 @@ def table_query(spark: SparkSession, sql: str, date_columns: Sequence[str] = (),
 DELTA_TABLES = ("membership", "participant")
 
 
+def _checked_name(name: str) -> str:
+    if not re.fullmatch(r"[A-Za-z_]\w*(\.[A-Za-z_]\w*){0,2}", name):
+        raise ValueError(f"not a table name: {name}")
+    return name
+
+
+def save_named_table(df: DataFrame, name: str, path: str | None = None, partition_by: Sequence[str] = ()) -> None:
+    """Replace a table of the session's catalogue and analyse it, so that joins with it are planned by its size.
+
+    With ``path`` the catalogue only refers to the files there.
+    """
+    writer = df.write.mode("overwrite").partitionBy(*partition_by)
+    (writer.option("path", path) if path else writer).saveAsTable(_checked_name(name))
+    columns = [c for c in df.columns if isinstance(df.schema[c].dataType, AtomicType)]
+    quoted = ", ".join(f"`{c}`" for c in columns)
+    df.sparkSession.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS" + (f" FOR COLUMNS {quoted}" if columns else ""))
+
+
 def catalog_scan(
+    spark: SparkSession,
+    name: str,
+    columns: Sequence[str] | None = None,
+    where: str | None = None,
+    casts: dict[str, str] | None = None,
+    allowed: Sequence[str] | None = None,
+) -> DataFrame:
+    """A table of the session's catalogue by its name: optional filter, projection and type changes.
+
+    ``allowed`` lists the only names that may be asked for.
+    """
+    if allowed is not None and name not in allowed:
+        raise ValueError(f"not a table that may be read: {name}")
+    return scan(spark.table(_checked_name(name)), columns, where, casts)
+
+
+def scan(
     source: DataFrame,
     columns: Sequence[str] | None = None,
     where: str | None = None,
     casts: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Pass-through reader: optional filter, projection and type changes."""
+    """Pass-through of a frame: optional filter, projection and type changes."""
     out = source.where(where) if where else source
     out = out.select(*columns) if columns else out
     return out.withColumns({c: F.col(c).cast(t) for c, t in casts.items()}) if casts else out

@@ -8,11 +8,14 @@ from pyspark.sql import functions as F
 
 from carespan.functions.instruments import QUESTIONS, config_json
 from carespan.operators.cdps import GROUP_LINES, WEIGHT_LINES
-from carespan.plans.monthly_load import load_release
+from carespan.plans import monthly_load
+from carespan.plans.monthly_load import drop_release, load_release, raw_table
+from carespan.sources import published as published_tables
 from carespan.sources import releases, tables
 from carespan.sources.config_files import assessment_config_scan, code_values, severity_groups
 from carespan.sources.fixed_width import fixed_width_lines, fixed_width_scan, read_extract
 from carespan.sources.layouts import LAYOUTS
+from carespan.sources.published import publish, published_audit, read_published, unnamed_folders, write_version
 from carespan.streaming.landing import land_new_extracts
 
 WIDTHS = {
@@ -97,36 +100,110 @@ def write_extracts(spark, folder, keys, n=5):
     return paths
 
 
+MAIN = "trc_hfs_main_claims"
+
+
+def published(spark, target, *names):
+    return {n: sorted(map(str, read_published(spark, target, n).collect())) for n in names}
+
+
 def test_load_release_is_repeatable_and_audited(spark, tmp_path):
     extracts = write_extracts(spark, str(tmp_path / "in"), sorted(LAYOUTS))
     target = str(tmp_path / "raw")
     for _ in range(2):
         outcome = load_release(spark, extracts, target, "HFS", 2031, date(2016, 3, 1))
-        assert {(r.Lines, r.Rows, r.Action) for r in outcome.collect()} == {(5, 5, "keep")}
-    claims = spark.read.parquet(f"{target}/trc_hfs_main_claims")
+        assert {(r.Lines, r.Rows, r.Action, r.Rejected) for r in outcome.collect()} == {(5, 5, "keep", 0)}
+    claims = raw_table(spark, target, "load_main_claims")
     assert claims.count() == 5 and set(claims.columns) >= {"DataSource", "ReleaseNum", "CumReleaseNum"}
-    assert spark.read.parquet(f"{target}/hfs_load_count_info").count() == 12
+    assert published_audit(spark, target).count() == 13
     load_release(spark, extracts, target, "HFS", 2032, date(2016, 4, 1))
-    assert spark.read.parquet(f"{target}/trc_hfs_main_claims").count() == 10
+    assert read_published(spark, target, MAIN).count() == 10
+    assert read_published(spark, target, MAIN, ("HFS", 2032)).select("ReleaseNum").distinct().collect() == [(2032,)]
+    drop_release(spark, target, "HFS", 2031)
+    assert read_published(spark, target, MAIN).count() == 5 and read_published(spark, target, MAIN, ("HFS", 2031)).count() == 0
 
 
 def test_mismatch_leaves_the_published_tables_untouched(spark, tmp_path, monkeypatch):
     extracts = write_extracts(spark, str(tmp_path / "in"), ["load_lead", "load_nips"])
     target = str(tmp_path / "raw")
-    from carespan.plans import monthly_load
-
     load_release(spark, extracts, target, "HFS", 2030, date(2016, 2, 1))
-    published = {t: sorted(map(str, spark.read.parquet(f"{target}/{t}").collect())) for t in ("trc_hfs_lead", "trc_hfs_nips", "hfs_load_count_info")}
+    before = published(spark, target, "trc_hfs_lead", "trc_hfs_nips"), published_audit(spark, target).collect()
+    whole = monthly_load.read_extract
 
     def lossy(session, path, layout):
-        rows = read_extract(session, path, layout)
+        rows = whole(session, path, layout)
         return rows.where("RecipientID <> '3'") if layout.key == "load_lead" else rows
 
     monkeypatch.setattr(monthly_load, "read_extract", lossy)
     outcome = {r.Table_Name: r.Action for r in load_release(spark, extracts, target, "HFS", 2031, date(2016, 3, 1)).collect()}
     assert outcome == {"trc_hfs_lead": "delete", "trc_hfs_nips": "keep"}
-    assert {t: sorted(map(str, spark.read.parquet(f"{target}/{t}").collect())) for t in published} == published
-    assert published["hfs_load_count_info"] and not (tmp_path / "raw" / "trc_hfs_nips" / "DataSource=HFS" / "ReleaseNum=2031").exists()
+    assert (published(spark, target, "trc_hfs_lead", "trc_hfs_nips"), published_audit(spark, target).collect()) == before
+
+
+def test_an_empty_file_empties_the_release(spark, tmp_path):
+    extracts = write_extracts(spark, str(tmp_path / "in"), ["load_lead", "load_nips"], n=3)
+    target = str(tmp_path / "raw")
+    load_release(spark, extracts, target, "HFS", 2030, date(2016, 2, 1))
+    spark.createDataFrame([], "value string").write.text(f"{tmp_path}/none")
+    outcome = load_release(spark, extracts | {"load_lead": f"{tmp_path}/none"}, target, "HFS", 2030, date(2016, 2, 2)).collect()
+    assert {(r.Table_Name, r.Lines, r.Rows, r.Action) for r in outcome} == {("trc_hfs_lead", 0, 0, "keep"), ("trc_hfs_nips", 3, 3, "keep")}
+    assert read_published(spark, target, "trc_hfs_lead").count() == 0 and read_published(spark, target, "trc_hfs_nips").count() == 3
+    assert {r.Table_Name: r.Count for r in published_audit(spark, target).collect()}["trc_hfs_lead"] == 0
+
+
+@pytest.mark.parametrize("dies_at", [1, 2, 3])
+def test_a_load_that_dies_leaves_the_old_release_whole(spark, tmp_path, monkeypatch, dies_at):
+    first = write_extracts(spark, str(tmp_path / "in"), ["load_lead", "load_nips"], n=3)
+    later = write_extracts(spark, str(tmp_path / "later"), ["load_lead", "load_nips"], n=5)
+    target = str(tmp_path / "raw")
+    load_release(spark, first, target, "HFS", 2030, date(2016, 2, 1))
+    before = published(spark, target, "trc_hfs_lead", "trc_hfs_nips"), published_audit(spark, target).collect()
+    real, calls = monthly_load.write_version, []
+
+    def dying(*given):
+        calls.append(given)
+        if len(calls) == dies_at:
+            raise KeyboardInterrupt
+        return real(*given)
+
+    with monkeypatch.context() as patch:
+        patch.setattr(monthly_load, "write_version", dying)
+        with pytest.raises(KeyboardInterrupt):
+            load_release(spark, later, target, "HFS", 2030, date(2016, 2, 2))
+    assert (published(spark, target, "trc_hfs_lead", "trc_hfs_nips"), published_audit(spark, target).collect()) == before
+    load_release(spark, later, target, "HFS", 2030, date(2016, 2, 2))
+    assert {len(x) for x in published(spark, target, "trc_hfs_lead", "trc_hfs_nips").values()} == {5}
+    assert len(unnamed_folders(spark, target)) == 3
+
+
+def test_a_broken_manifest_is_passed_over(spark, tmp_path):
+    target = str(tmp_path)
+    entry = write_version(spark.range(3), target, "t", "HFS", 1, date(2016, 1, 1))
+    assert publish(spark, target, [entry]) == 1
+    torn = [(2, 2, *entry._replace(Folder="elsewhere"))]
+    spark.createDataFrame(torn, published_tables._SCHEMA).write.mode("append").parquet(f"{target}/{published_tables.MANIFEST}")
+    assert read_published(spark, target, "t").count() == 3
+    assert publish(spark, target, removed=[("HFS", 1)]) == 3 and published_audit(spark, target).count() == 0
+    with pytest.raises(LookupError):
+        read_published(spark, target, "t")
+
+
+def test_rejected_fields_are_kept_and_counted(spark, tmp_path):
+    layout = LAYOUTS["load_lead"]
+    good = ("7", "lab", date(2016, 1, 2), None, "3", "V", "low", date(2016, 1, 3))
+    lines = [r.value for r in fixed_width_lines(spark.createDataFrame([good] * 3, schema(layout)), layout).collect()]
+    at = {f.name: f.start - 1 for f in layout.fields}
+    lines[1] = lines[1][: at["CollectedDate"]] + "2016-13-40" + lines[1][at["CollectedDate"] + 10 :]
+    lines[2] = lines[2][: at["BirthDate"]] + "unknown   " + lines[2][at["BirthDate"] + 10 :]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(f"{tmp_path}/lead")
+    target = str(tmp_path / "raw")
+    outcome = load_release(spark, {"load_lead": f"{tmp_path}/lead"}, target, "HFS", 2030, date(2016, 2, 1)).first()
+    assert (outcome.Lines, outcome.Rows, outcome.Rejected) == (3, 3, 2)
+    texts = read_published(spark, target, monthly_load.REJECT_TABLE)
+    assert {(r.Table_Name, r.Field, r.Raw_Text) for r in texts.collect()} == {
+        ("trc_hfs_lead", "CollectedDate", "2016-13-40"), ("trc_hfs_lead", "BirthDate", "unknown")}
+    rows = raw_table(spark, target, "load_lead")
+    assert "_Rejected" not in rows.columns and rows.where("CollectedDate IS NULL").count() == 1
 
 
 def test_delete_release(spark):
@@ -186,3 +263,20 @@ def test_a_cluster_needs_a_shared_folder():
     for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1000]"):
         with pytest.raises(ValueError, match="spark.checkpoint.dir"):
             shared_folder(session(master))
+
+
+def test_tables_by_name(spark, tmp_path):
+    rows = spark.range(10).withColumn("name", F.concat(F.lit("n"), F.col("id")))
+    tables.save_named_table(rows, "named_rows", f"{tmp_path}/named")
+    found = tables.catalog_scan(spark, "named_rows", ["id"], "name = 'n3'", {"id": "int"}, ["named_rows"])
+    assert found.collect() == [(3,)] and found.dtypes == [("id", "int")]
+    described = {r.col_name: r.data_type for r in spark.sql("DESCRIBE EXTENDED named_rows").collect()}
+    assert "10 rows" in described["Statistics"]
+    tables.save_named_table(rows.limit(2), "named_rows", f"{tmp_path}/named2")
+    assert tables.catalog_scan(spark, "named_rows").count() == 2
+    for name in ("other", "named_rows; DROP TABLE x"):
+        with pytest.raises(ValueError):
+            tables.catalog_scan(spark, name, allowed=["named_rows"])
+    with pytest.raises(ValueError):
+        tables.catalog_scan(spark, "a b")
+    spark.sql("DROP TABLE named_rows")
