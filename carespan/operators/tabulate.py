@@ -10,6 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from carespan.functions.text import percent_text
+from carespan.session import written
 
 # Fixed value: multiplier of the standard error for the interval.
 INTERVAL_FACTOR = 1.98
@@ -71,12 +72,7 @@ def describe_report(df: DataFrame, group: str, value: str, kind: str) -> DataFra
         s = F.when(F.col("n") > 1, F.sqrt(F.col("var") * F.col("n") / F.greatest(F.col("n") - 1, F.lit(1))))
         text = F.concat(_fixed(F.col("a")), F.lit(" ("), _fixed(s), F.lit(")"))
     else:
-        counted = own.groupBy("Group", "v").agg(F.count(F.lit(1)).alias("n"))
-        total = counted.groupBy("v").agg(F.sum("n").alias("n")).select(F.lit("Total").alias("Group"), "v", "n")
-        every = counted.where("Group IS NOT NULL").unionByName(total)
-        ranges = every.groupBy("Group").agg(F.sum("n").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
-        found = exact_quantiles(every, "Group", "v", [0.25, 0.5, 0.75]).withColumnRenamed("quantiles", "q")
-        stats = found.join(ranges, "Group")
+        stats = exact_quantiles(own, "Group", "v", [0.25, 0.5, 0.75], total="Total").withColumnRenamed("quantiles", "q")
         text = F.concat(
             _fixed(F.col("q")[1]), F.lit(" ("), _fixed(F.col("q")[0]), F.lit(", "), _fixed(F.col("q")[2]), F.lit(")")
         )
@@ -84,58 +80,96 @@ def describe_report(df: DataFrame, group: str, value: str, kind: str) -> DataFra
     return stats.select("Group", description, text.alias("Final"), F.col("n").alias("Count"), F.col("low").alias("Min"), F.col("high").alias("Max"))
 
 
-QUANTILE_DIGITS = (3, 6, 9, 12, 17)
+SKETCH_SIZE = 4000  # of a group's quantile sketch: some 100 kB, whatever it has seen
+RANK_ERROR = 0.006  # of its ranks: over four times what it errs by at most with a chance of 99%, and a place or two among over FEW values
+FEW = 1000  # values that are their own band
 
 
-def _value_bucket(value: Column, digits: int) -> Column:
-    """Order-preserving text key of the value's sign, magnitude and leading digits."""
-    size = F.abs(value)
-    power = F.floor(F.log10(size))
-    lead = F.floor(size / F.pow(F.lit(10.0), (power - (digits - 1)).cast("double"))).cast("decimal(20,0)")
-    signed = F.when(value < 0, -lead).otherwise(lead)
-    magnitude = F.when(value < 0, -(power + 400)).when(value == 0, 0).otherwise(power + 400)
-    return F.struct(magnitude.cast("int").alias("magnitude"), F.coalesce(signed, F.lit(0).cast("decimal(20,0)")).alias("lead"))
+def _ranks(n: Column, probabilities: Sequence[float]) -> list[Column]:
+    """Places from 0, with fractions, of the wanted quantiles among n sorted values."""
+    return [F.lit(p) * (n - 1) for p in probabilities]
 
 
-def exact_quantiles(counted: DataFrame, group: str, value: str, probabilities: Sequence[float]) -> DataFrame:
-    """Exact interpolated quantiles per group, as an array in the order of ``probabilities``.
+def exact_quantiles(rows: DataFrame, group: str, value: str, probabilities: Sequence[float], total: str | None = None) -> DataFrame:
+    """Per group: exact interpolated quantiles as an array in the order of ``probabilities``, n, low and high.
 
-    ``counted`` has distinct (group, value) with their count ``n``. Counts are summed per bucket of leading digits; running totals over
-    the buckets tell which of them hold the wanted ranks, and only their values go on to more digits,
-    until a bucket is a single value but for the last bits. So a narrow band of values is never ranked as a whole.
+    With ``total`` there is a group of that name over all rows, and rows without a group count only there.
+
+    A first pass makes a mergeable sketch per group (that of all rows is merged from those) and takes
+    from it, for each wanted rank, two values that hold the rank between them for certain or nearly so. A second pass counts how many values lie below
+    the lower and how often each one between them occurs, so what is sorted is a band of about a hundredth of the
+    values, each once. A rank that its band misses after all is looked for among all values of its group, in a third
+    pass that otherwise isn't made. Bands and what they hold, a few rows a group, are written in between.
     """
-    totals = counted.groupBy(group).agg(F.sum("n").alias("total"))
-    positions = [F.lit(p) * (F.col("total") - 1) for p in probabilities]
-    ranks = F.array_distinct(F.array(*[f(p).cast("bigint") for p in positions for f in (F.floor, F.ceil)]))
-    wanted = totals.select(group, "total", F.explode(ranks).alias("rank"), F.lit(0).cast("bigint").alias("before"))
-    held = counted.select(group, F.col(value).alias("at"), "n").join(wanted, group)
-    for digits in QUANTILE_DIGITS:
-        held = held.withColumn("bucket", _value_bucket(F.col("at"), digits))
-        running = W.partitionBy(group, "rank").orderBy("bucket")
-        chosen = (
-            held.groupBy(group, "rank", "before", "bucket")
-            .agg(F.sum("n").alias("own"))
-            .withColumn("until", F.col("before") + F.sum("own").over(running))
-            .where((F.col("until") > F.col("rank")) & (F.col("until") - F.col("own") <= F.col("rank")))
-            .select(group, "rank", "bucket", (F.col("until") - F.col("own")).alias("start"))
+    own = rows.select(F.col(group).alias(group), F.col(value).alias("v")).where("v IS NOT NULL")
+    sketch = F.call_function("kll_sketch_agg_double", F.col("v").cast("double"), F.lit(SKETCH_SIZE)).alias("sketch")
+    parts = own.groupBy(group).agg(sketch, F.count("v").alias("n"), F.min("v").alias("low"), F.max("v").alias("high"))
+    ranges = parts.where(F.col(group).isNotNull())
+    if total is not None:
+        merged = F.call_function("kll_merge_agg_double", F.col("sketch"), F.lit(SKETCH_SIZE)).alias("sketch")
+        whole = parts.agg(merged, F.sum("n").alias("n"), F.min("low").alias("low"), F.max("high").alias("high"))
+        ranges = ranges.unionByName(whole.where("n > 0").select(F.lit(total).alias(group), "sketch", "n", "low", "high"))
+
+    places = _ranks(F.col("n"), probabilities)
+    clipped = lambda p: float(min(max(p, 0.0), 1.0))
+    bounds = {
+        side: F.call_function(
+            "kll_sketch_get_quantile_double", F.col("sketch"), F.array(*[F.lit(clipped(p + sign * RANK_ERROR)) for p in probabilities])
         )
-        held = held.join(chosen, [group, "rank", "bucket"]).withColumn("before", F.col("start")).drop("bucket", "start")
-    last = W.partitionBy(group, "rank").orderBy("at")
-    found = (
-        held.withColumn("upto", F.col("before") + F.sum("n").over(last))
-        .where(F.col("upto") > F.col("rank"))
-        .groupBy(group, "total", "rank")
-        .agg(F.min("at").alias("at"))
-        .groupBy(group, "total")
-        .agg(F.map_from_entries(F.collect_list(F.struct("rank", "at"))).alias("values"))
+        for side, sign in (("from", -1), ("to", 1))
+    }
+    few = F.col("n") <= FEW
+    asked = F.array(
+        *[
+            F.struct(
+                f(place).cast("bigint").alias("rank"),
+                F.when(few | F.lit(p <= RANK_ERROR), F.col("low")).otherwise(F.get("from", F.lit(k))).alias("from"),
+                F.when(few | F.lit(p >= 1 - RANK_ERROR), F.col("high")).otherwise(F.get("to", F.lit(k))).alias("to"),
+            )
+            for k, (p, place) in enumerate(zip(probabilities, places))
+            for f in (F.floor, F.ceil)
+        ]
     )
-
-    def quantile(position: Column) -> Column:
-        low = F.element_at("values", F.floor(position).cast("bigint"))
-        high = F.element_at("values", F.ceil(position).cast("bigint"))
-        return low + (position - F.floor(position)) * (high - low)
-
-    return found.select(group, F.array(*[quantile(p) for p in positions]).alias("quantiles"))
+    bands = (
+        ranges.withColumns(bounds)
+        .select(group, "n", "low", "high", F.inline(asked))
+        .groupBy(group, "n", "low", "high", "rank")
+        .agg(F.min("from").alias("from"), F.max("to").alias("to"))
+    )
+    bands = written(bands, "quantile-bands")
+    held = bands.groupBy(group).agg(F.collect_list(F.struct("rank", "from", "to")).alias("bands"))
+
+    names = F.array_compact(F.array(F.col(group), F.lit(total))) if total is not None else F.array_compact(F.array(F.col(group)))
+    every = own.select(F.explode(names).alias(group), "v")
+    within = (
+        every.join(held, group)
+        .select(group, "v", F.explode("bands").alias("band"))
+        .where("v <= band.to")
+        .groupBy(group, F.col("band.rank").alias("rank"), F.when(F.col("v") >= F.col("band.from"), F.col("v")).alias("at"))
+        .agg(F.count(F.lit(1)).alias("times"))
+    )
+    found = written(_at_rank(within, group), "quantiles-found")
+    missed = bands.select(group, "rank").join(found, [group, "rank"], "left_anti")
+    if not missed.isEmpty():
+        anew = every.join(missed, group).groupBy(group, "rank", F.col("v").alias("at")).agg(F.count(F.lit(1)).alias("times"))
+        found = found.unionByName(_at_rank(anew, group))
+    values = found.groupBy(group).agg(F.map_from_entries(F.collect_list(F.struct("rank", "at"))).alias("values"))
+
+    def interpolated(place: Column) -> Column:
+        below = F.element_at("values", F.floor(place).cast("bigint"))
+        above = F.element_at("values", F.ceil(place).cast("bigint"))
+        return below + (place - F.floor(place)) * (above - below)
+
+    out = bands.select(group, "n", "low", "high").distinct().join(values, group)
+    return out.select(group, "n", "low", "high", F.array(*[interpolated(p) for p in places]).alias("quantiles"))
+
+
+def _at_rank(counted: DataFrame, group: str) -> DataFrame:
+    """(group, rank, at): the value at its rank, from counts by value; those below the band have a NULL value and come first."""
+    ordered = W.partitionBy(group, "rank").orderBy(F.col("at").asc_nulls_first())
+    until = F.sum("times").over(ordered.rowsBetween(W.unboundedPreceding, W.currentRow))
+    reached = counted.withColumn("until", until).where("until > rank AND until - times <= rank AND at IS NOT NULL")
+    return reached.select(group, "rank", "at")
 
 
 def _fixed(number: Column) -> Column:

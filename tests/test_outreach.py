@@ -14,6 +14,7 @@ from carespan.operators import assessments as asm
 from carespan.operators import attendance as att
 from carespan.operators import contacts as con
 from carespan.operators import registry as reg
+from carespan.operators import tabulate
 from carespan.operators.tabulate import crosstab_report, describe_report, exact_quantiles, paired_stats, two_sided_p
 
 
@@ -205,18 +206,34 @@ def test_p_values(spark):
         assert r.ours is None if r.p is None else r.ours == pytest.approx(r.p, rel=1e-7, abs=1e-12)
 
 
-def test_exact_quantiles(spark):
+def test_exact_quantiles(spark, monkeypatch):
     pick = random.Random(5)
     rows = [(pick.choice("abb"), round(pick.choice([1, 1000, 0.01]) * pick.uniform(-5, 5), 3)) for _ in range(400)]
     rows += [("narrow", 100.001 + k * 1e-9) for k in range(900)] + [("last bits", 1.0 + k * 2.0**-52) for k in range(9)]
     rows += [("one", 7.0), ("zero", 0.0), ("zero", 0.0), ("pow", 999.9999999), ("pow", 1000.0), ("pow", 1000.1)]
     df = spark.createDataFrame(rows, "g string, v double")
     probabilities = [0.0, 0.25, 0.5, 0.75, 1.0]
-    ours = {r.g: r.quantiles for r in exact_quantiles(df.groupBy("g", "v").agg(F.count("*").alias("n")), "g", "v", probabilities).collect()}
-    expected = df.groupBy("g").agg(F.percentile("v", F.array(*map(F.lit, probabilities))).alias("q"))
-    for r in expected.collect():
-        assert ours[r.g] == pytest.approx(r.q)
-    assert len(ours) == 7
+    wanted = F.percentile("v", F.array(*map(F.lit, probabilities))).alias("q")
+    rows += [(None, 5.0), ("a", None)]
+    df = df.union(spark.createDataFrame(rows[-2:], df.schema))
+    expected = {r.g: r.q for r in df.where("g IS NOT NULL").groupBy("g").agg(wanted).collect()} | {"all": df.agg(wanted).first().q}
+    for few, error in ((tabulate.FEW, tabulate.RANK_ERROR), (0, 0.05), (0, -0.6)):  # the last with bands that miss every rank
+        monkeypatch.setattr(tabulate, "FEW", few)
+        monkeypatch.setattr(tabulate, "RANK_ERROR", error)
+        ours = {r.g: r for r in exact_quantiles(df, "g", "v", probabilities, "all").collect()}
+        assert len(ours) == 8 and ours["all"].n == len(rows) - 1 and (ours["pow"].low, ours["pow"].high) == (999.9999999, 1000.1)
+        for g, q in expected.items():
+            assert ours[g].quantiles == pytest.approx(q)
+    assert exact_quantiles(df.where("false"), "g", "v", probabilities, "all").count() == 0
+
+
+def test_exact_quantiles_read_the_rows_twice(spark):
+    df = spark.range(30_000).selectExpr("cast(id % 3 as string) g", "cast(pmod(xxhash64(id), 20011) as double) v")
+    plan = exact_quantiles(df, "g", "v", [0.25, 0.5], "all")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Range" not in plan and plan.count("Relation") <= 3
+    ours = {r.g: r.quantiles for r in exact_quantiles(df, "g", "v", [0.25, 0.5], "all").collect()}
+    expected = df.groupBy("g").agg(F.percentile("v", F.array(F.lit(0.25), F.lit(0.5))).alias("q")).collect()
+    assert all(ours[r.g] == r.q for r in expected) and len(ours) == 4
 
 
 def test_hot_group_description(spark):
