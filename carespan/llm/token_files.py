@@ -15,8 +15,9 @@ file systems elsewhere.
 
 Encoding is the tokenizers library's. The byte-level pattern never joins a character that is no
 white space with white space behind it, so a text is cut there and each distinct cut piece is encoded
-once in a worker process (they are told apart by 64-bit hashes, see texts.py), many in one call, parted by the
-file's own special token; a tokenizer of another kind encodes whole texts.
+once in a worker process (they are told apart by 64-bit hashes, see texts.py). The library takes a special token's own text
+for that token wherever it stands; such a text has no white space, so it lies in one piece and stays what it is there. Pieces without
+it are encoded many in one call, parted by it; a tokenizer of another kind encodes whole texts.
 
 Nulls, ties and odd rows: a null text has only the end id; rows with a null doc_id come
 first; rows with equal ids come by text, each with its own entry; other columns are ignored; no rows make no
@@ -26,6 +27,7 @@ shards.
 from __future__ import annotations
 
 import json
+import re
 import struct
 import uuid
 import zlib
@@ -77,13 +79,17 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
         with open(path, encoding="utf-8") as f:
             kind = json.load(f)
         pre = kind.get("pre_tokenizer") or {}
         self.cuts = kind.get("normalizer") is None and pre.get("type") == "ByteLevel" and not pre.get("add_prefix_space")
-        marks = [(t["content"], t["id"]) for t in kind.get("added_tokens") or () if t["special"] and not (t["lstrip"] or t["rstrip"])]
-        self.mark = marks[0] if marks else None
+        added = kind.get("added_tokens") or ()
+        plain = not any(t["lstrip"] or t["rstrip"] or t["single_word"] or re.search(r"\s", t["content"]) for t in added)
+        self.cuts = self.cuts and plain
+        # Alone, and no end of it a beginning of it: between two pieces it is found there and nowhere else.
+        marks = [(t["content"], t["id"]) for t in added]
+        parts = self.cuts and len(marks) == 1 and not any(marks[0][0].startswith(marks[0][0][k:]) for k in range(1, len(marks[0][0])))
+        self.mark = marks[0] if parts else None
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.forget()
 
@@ -111,21 +117,25 @@ class Encoder:
 
     def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of pieces one after another, and how many each has; the mark parts them within one call."""
-        if self.mark is None or any(self.mark[0] in p for p in pieces):
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-            return np.array([i for ids in found for i in ids], np.uint32), np.array([len(x) for x in found], np.int64)
-        text, number = self.mark
-        self.tokenizer.encode_special_tokens = False
-        (found,) = self.tokenizer.encode_batch_fast([text.join(pieces)], add_special_tokens=False)
-        self.tokenizer.encode_special_tokens = True
-        ids = np.array(found.ids, np.uint32)
-        parts = np.flatnonzero(ids == number)
-        edges = np.concatenate([[-1], parts, [len(ids)]])
-        return np.delete(ids, parts), np.diff(edges) - 1
+        if self.mark is not None and not any(self.mark[0] in p for p in pieces):
+            text, number = self.mark
+            (found,) = self.tokenizer.encode_batch_fast([text.join(pieces)], add_special_tokens=False)
+            ids = np.array(found.ids, np.uint32)
+            parts = np.flatnonzero(ids == number)
+            if len(parts) == len(pieces) - 1:
+                edges = np.concatenate([[-1], parts, [len(ids)]])
+                return np.delete(ids, parts), np.diff(edges) - 1
+        each = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
+        return np.array([i for ids in each for i in ids], np.uint32), np.array([len(x) for x in each], np.int64)
 
     def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
         if not pieces:
             return
+        own = np.array([self.mark is not None and self.mark[0] in p for p in pieces])
+        if own.any() and not own.all():
+            for some in (~own, own):
+                self._learn(keys[some], [pieces[k] for k in np.flatnonzero(some)])
+            return
         ids, sizes = self._ids(pieces)
         at = np.searchsorted(self.keys, keys)
         self.place = np.insert(self.place, at, len(self.sizes) + np.arange(len(keys)))

@@ -17,7 +17,6 @@ PATH = public_tokenizers.path("byte_bpe_50k.json")
 
 def whole(rows, path=PATH):
     tokenizer = Tokenizer.from_file(path)
-    tokenizer.encode_special_tokens = True
     out, start = [], 0
     for doc_id, text in sorted(rows, key=lambda r: (r[0] is not None, r[0] or 0, r[1] is not None, r[1] or "")):
         ids = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
@@ -38,11 +37,27 @@ def test_pieces_give_the_ids_of_whole_texts():
     rows = [t.encode() for t in odd_texts(3000)]
     data = np.frombuffer(b"".join(rows), np.uint8)
     ids, sizes = encoder.encode(data, np.concatenate([[0], np.cumsum([len(r) for r in rows])]))
-    want = [encoder.tokenizer.encode(r.decode(), add_special_tokens=False).ids for r in rows]
+    tokenizer = Tokenizer.from_file(PATH)
+    want = [tokenizer.encode(r.decode(), add_special_tokens=False).ids for r in rows]
     assert list(sizes) == [len(w) for w in want]
     assert list(ids) == [i for w in want for i in w]
 
 
+def test_the_special_token_in_texts():
+    mark = "<|endoftext|>"
+    rows = [f"x {mark} y", mark, mark * 2, f"{mark} a {mark}", f"in{mark}word", f"a  {mark}  b", f" {mark}\n{mark}x", "<|endoftext", "|endoftext|>", f"<{mark[:-1]}",
+            f"a<{mark}> b", f"<|endof{mark}text|>", f"é{mark}", f"\xa0{mark}\xa0", f"the same word <|endoftext| > {mark}"]
+    tokenizer = Tokenizer.from_file(PATH)
+    assert tokenizer.encode(rows[0], add_special_tokens=False).ids.count(50256) == 1
+    for given in (rows, rows * 2, [r.replace(mark, "-") for r in rows] + rows):
+        encoded = [r.encode() for r in given]
+        encoder = token_files.Encoder(PATH)
+        assert encoder.mark == (mark, 50256)
+        ids, sizes = encoder.encode(np.frombuffer(b"".join(encoded), np.uint8), np.concatenate([[0], np.cumsum([len(r) for r in encoded])]))
+        want = [tokenizer.encode(r, add_special_tokens=False).ids for r in given]
+        assert list(sizes) == [len(w) for w in want] and list(ids) == [i for w in want for i in w]
+
+
 @pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
 def test_odd_rows(spark, name):
     path = public_tokenizers.path(name)
