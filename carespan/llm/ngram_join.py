@@ -208,7 +208,7 @@ def _bitmap(ids: DataFrame) -> np.ndarray:
 
 
 def _set_table(docs: DataFrame, sets: DataFrame, nodes: DataFrame) -> DataFrame:
-    """(node, n, items) of the given nodes; items are the sorted shingles as bytes.
+    """(node, n, items) of the given nodes; items are the shingles as an array.
 
     The texts are read where they are: a bitmap of fixed size tells most rows that are not
     asked for, and only the sets of the others are shuffled to be matched exactly.
@@ -222,19 +222,19 @@ def _set_table(docs: DataFrame, sets: DataFrame, nodes: DataFrame) -> DataFrame:
             spot = batch.column("spot").to_numpy()
             batch = batch.filter(pa.array((asked[spot >> 6] >> (spot & 63).astype(np.uint64)) & np.uint64(1) == 1))
             for first, last, values, _, sizes, hashes in _sets(batch):
-                ends = np.cumsum(sizes)
+                ends = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
                 yield pa.record_batch(
                     [
                         batch.column("doc_id").slice(first, last - first),
                         pa.array(texts.signed(hashes)),
                         pa.array(sizes),
-                        pa.array([values[e - s : e].tobytes() for s, e in zip(sizes, ends)], pa.binary()),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(texts.signed(values))),
                     ],
                     names=["doc_id", "node", "n", "items"],
                 )
 
     spotted = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("spot"))
-    built = spotted.mapInArrow(build, "doc_id long, node long, n long, items binary")
+    built = spotted.mapInArrow(build, "doc_id long, node long, n long, items array<long>")
     found = built.alias("t").join(
         wanted.alias("w"), F.expr("t.node = w.node AND t.doc_id <=> w.doc_id"), "left_semi"
     )
@@ -266,26 +266,12 @@ def _may_link(pairs: DataFrame, shared: DataFrame) -> DataFrame:
 def _overlaps(pairs: DataFrame, items: DataFrame) -> DataFrame:
     """(a, b, n_a, n_b, common) of each pair (a, b) of nodes, from the whole sets."""
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            common = []
-            for x, y in zip(batch.column("items_a"), batch.column("items_b")):
-                x, y = np.frombuffer(x.as_buffer(), np.uint64), np.frombuffer(y.as_buffer(), np.uint64)
-                if len(x) > len(y):
-                    x, y = y, x
-                at = np.minimum(np.searchsorted(y, x), len(y) - 1)
-                common.append(int((y[at] == x).sum()))
-            yield pa.record_batch(
-                [*(batch.column(c) for c in ("a", "b", "n_a", "n_b")), pa.array(common, pa.int64())],
-                names=["a", "b", "n_a", "n_b", "common"],
-            )
-
     def side(x):
         return items.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("items").alias(f"items_{x}"))
 
     both = pairs.join(side("a"), "a").join(side("b"), "b")
-    both = both.select("a", "b", "n_a", "n_b", "items_a", "items_b")
-    return both.mapInArrow(count, "a long, b long, n_a long, n_b long, common long")
+    common = F.size(F.array_intersect("items_a", "items_b")).cast("long")
+    return both.select("a", "b", "n_a", "n_b", common.alias("common"))
 
 
 def _with_roots(entries: DataFrame, roots: DataFrame | None) -> DataFrame:
