@@ -45,7 +45,7 @@ from pyspark.sql.window import Window
 
 from carespan.llm import texts
 from carespan.llm.components import connected
-from carespan.llm.storage import documents, kept, ship
+from carespan.llm.storage import documents, kept, ship, trimmed
 
 WIDTH = 5
 BLOCK = 1 << 22  # shingles counted together in a task
@@ -234,7 +234,7 @@ def _set_table(docs: DataFrame, sets: DataFrame, nodes: DataFrame) -> DataFrame:
                 )
 
     spotted = docs.select("doc_id", "text", F.pmod(F.xxhash64("doc_id"), F.lit(FILTER_BITS)).alias("spot"))
-    built = spotted.mapInArrow(build, "doc_id long, node long, n long, items array<long>")
+    built = spotted.mapInArrow(trimmed(build), "doc_id long, node long, n long, items array<long>")
     found = built.alias("t").join(
         wanted.alias("w"), F.expr("t.node = w.node AND t.doc_id <=> w.doc_id"), "left_semi"
     )
@@ -331,14 +331,14 @@ def _components(docs: DataFrame) -> DataFrame:
     spark = ship(docs.sparkSession)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
     survey = "doc_id long, text_key long, node long, n long, token long, times long"
-    survey = kept(docs.mapInArrow(_survey, survey), "survey")
+    survey = kept(docs.mapInArrow(trimmed(_survey), survey), "survey")
     docs = docs.drop("text_key")
     sets = survey.where("node IS NOT NULL").select("doc_id", "text_key", "node", "n")
     often = _frequent(spark, survey.where("node IS NULL"))
     order = np.argsort(often)
     by_hash = spark.sparkContext.broadcast(often[order])
     rank = spark.sparkContext.broadcast(order.astype(np.uint64))
-    entries = docs.mapInArrow(_index_entries(by_hash, rank), "token long, node long, n int, place int")
+    entries = docs.mapInArrow(trimmed(_index_entries(by_hash, rank)), "token long, node long, n int, place int")
     shared = kept(_blocks(_shared_entries(entries)), "shared")
 
     # First pass, in rounds: each set against one leader of another component.

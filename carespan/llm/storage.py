@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import ctypes
 import io
 import zipfile
+from collections.abc import Callable, Iterator
 from pathlib import Path
 
+import pyarrow as pa
 import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession
 
@@ -38,6 +41,21 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def trimmed(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """``work`` for mapInArrow; at its end the worker, which lives on for other tasks, gives freed memory back."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from work(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # not every C library has it
+            if trim is not None:
+                trim(0)
+
+    return run
+
+
 def kept(frame: DataFrame, name: str) -> DataFrame:
     """Write the frame to the shared folder and read it back: its lineage ends there."""
     spark = frame.sparkSession

@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from carespan.llm import texts
-from carespan.llm.storage import documents, kept, ship
+from carespan.llm.storage import documents, kept, ship, trimmed
 
 WINDOW = 200
 GRAM = 48
@@ -391,12 +391,12 @@ def _count_windows(contexts: DataFrame) -> DataFrame:
                 names=["doc_id", "text_key", "start", "stop"],
             )
 
-    found = contexts.mapInArrow(windows, "window long, doc_id long, text_key long, place long, settled boolean, j int")
+    found = contexts.mapInArrow(trimmed(windows), "window long, doc_id long, text_key long, place long, settled boolean, j int")
     often = found.groupBy("window").agg(F.count("*").alias("times")).where("times > 1")
     again = found.where("NOT settled").join(often, "window", "left_semi")
     # At most 153 windows hold an anchor, so its list is short.
     by_anchor = again.groupBy("doc_id", "text_key", "place").agg(F.collect_list("j").alias("taken"))
-    return by_anchor.mapInArrow(runs, _SPAN)
+    return by_anchor.mapInArrow(trimmed(runs), _SPAN)
 
 
 def _united(rows: np.ndarray, start: np.ndarray, stop: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -442,7 +442,7 @@ def _removed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def repeated_spans(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, start, stop): byte spans of repeated windows; they may overlap. docs has text_key."""
-    found = kept(_repeated(docs.mapInArrow(_post, _ANCHOR)), "anchors")
+    found = kept(_repeated(docs.mapInArrow(trimmed(_post), _ANCHOR)), "anchors")
     settled = found.where("settled").select(
         "doc_id", "text_key", F.expr("place - lead").alias("start"), F.expr(f"place + {GRAM} + trail").alias("stop")
     )
@@ -464,10 +464,10 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
     small, large = (
         with_text.select("doc_id", "text_key", "text", F.expr(f"filter(wanted, x -> x.large = {y})").alias("wanted"))
         .where(F.size("wanted") > 0)
-        .mapInArrow(_cut_contexts, schema)
+        .mapInArrow(trimmed(_cut_contexts), schema)
         for y in ("false", "true")
     )
-    sorted_out = small.repartition("gram").sortWithinPartitions("gram").mapInArrow(_sort_groups, _SPAN)
+    sorted_out = small.repartition("gram").sortWithinPartitions("gram").mapInArrow(trimmed(_sort_groups), _SPAN)
     spans = settled.unionByName(sorted_out)
     if open_grams.where("large").limit(1).count():
         spans = spans.unionByName(_count_windows(large))
@@ -484,7 +484,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     )
     both = F.col("doc_id").eqNullSafe(F.col("s_doc_id")) & F.col("text_key").eqNullSafe(F.col("s_text_key"))
     joined = docs.join(by_text, both, "left").select("doc_id", "text", "spans")
-    return joined.mapInArrow(_removed, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+    return joined.mapInArrow(trimmed(_removed), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
 def op6_suffix_dedup(spark, folder: str) -> DataFrame:
