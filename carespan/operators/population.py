@@ -31,7 +31,7 @@ def label_counts(patients: DataFrame) -> DataFrame:
 
 
 def label_cross_counts(patients: DataFrame) -> DataFrame:
-    """Patients per pair of labels, in one aggregation over the three pairs."""
+    """Patients per pair of labels: counted once per combination of all labels, then rolled up to the three pairs."""
     pairs = F.array(
         *[
             F.struct(
@@ -41,10 +41,11 @@ def label_cross_counts(patients: DataFrame) -> DataFrame:
             for a, b in CROSSES
         ]
     )
+    finest = patients.groupBy(*sorted({c for pair in CROSSES for c in pair})).agg(F.count(F.lit(1)).alias("n"))
     return (
-        patients.select(F.inline(pairs))
+        finest.select("n", F.inline(pairs))
         .groupBy("First_Type", "First_Label", "Second_Type", "Second_Label")
-        .agg(F.count(F.lit(1)).alias("Count"))
+        .agg(F.sum("n").alias("Count"))
     )
 
 

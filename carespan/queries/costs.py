@@ -613,12 +613,16 @@ def _claims_patient_join(t: Inputs) -> DataFrame:
     """,
 )
 def _rpt_high_utilizers(t: Inputs) -> DataFrame:
-    """The window opens after the last service date of the release before, read from the raw claims."""
-    latest = t.in_release.agg(F.max("ReleaseNum").alias("n"))
-    previous = t.in_raw_claims.where(F.col("ReleaseNum") == latest.scalar() - 1)
-    after = previous.agg(F.max("ServiceFromDt").alias("d")).scalar()
-    until = keys.of_latest_release(t.in_release).select("HFS_Release_Date").scalar()
-    return reports.rpt_high_utilizers(categorized(t), t.in_patient, after, until, latest.scalar())
+    """The window opens after the last service date of the release before, read from the raw claims.
+
+    The three values are worked out once and stand in the plan as literals.
+    """
+    newest = keys.of_latest_release(t.in_release).select("ReleaseNum", F.col("HFS_Release_Date").alias("until")).first()
+    number, until = (newest.ReleaseNum, newest.until) if newest else (None, None)
+    previous = t.in_raw_claims.where(F.col("ReleaseNum") == (F.lit(number) - 1))
+    after = previous.agg(F.max("ServiceFromDt").alias("d")).first().d
+    day = lambda d: F.lit(d).cast("date")
+    return reports.rpt_high_utilizers(categorized(t), t.in_patient, day(after), day(until), F.lit(number).cast("int"))
 
 
 # Follow-up after discharge.
