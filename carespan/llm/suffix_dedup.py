@@ -274,30 +274,24 @@ def repeated_runs(groups: np.ndarray, contexts: list[bytes], lead: np.ndarray) -
     l_common, l_order = l_common[many[l_order]], new_index[l_order[many[l_order]]]
     before, behind = lead[at], right.length[at] - GRAM
     r_class, l_class = np.empty(len(at), np.int64), np.empty(len(at), np.int64)
-    hits, js = [], []
-    for j in range(REACH + 1 if len(at) else 0):
-        fits = np.flatnonzero((before >= j) & (behind >= REACH - j))
-        if len(fits) < 2:
-            continue
-        r_class[r_order] = np.cumsum(r_common < GRAM + REACH - j)
-        l_class[l_order] = np.cumsum((l_common < j) | (l_common < 0))
-        both = r_class[fits] * (len(at) + 1) + l_class[fits]
-        order = np.argsort(both)
-        both = both[order]
-        same = np.zeros(len(both), bool)
-        same[1:] = both[1:] == both[:-1]
-        same[:-1] |= same[1:]
-        hit = at[fits[order[same]]]
-        hits.append(hit)
-        js.append(np.full(len(hit), j))
-    if sum(map(len, hits)):
-        context, j = np.concatenate(hits), np.concatenate(js)
-        order = np.lexsort((j, context))
-        context, j = context[order], j[order]
-        new = np.ones(len(j), bool)
-        new[1:] = (context[1:] != context[:-1]) | (j[1:] != j[:-1] + 1)
-        first = np.flatnonzero(new)
-        out.append((context[first], j[first], j[np.append(first[1:], len(j)) - 1]))
+    since = np.full(len(at), -1)  # the j from which on each context's windows are repeated, while they are
+    for j in range(REACH + 2 if len(at) else 0):
+        hit = np.zeros(len(at), bool)
+        fits = np.flatnonzero((before >= j) & (behind >= REACH - j)) if j <= REACH else at[:0]
+        if len(fits) > 1:
+            r_class[r_order] = np.cumsum(r_common < GRAM + REACH - j)
+            l_class[l_order] = np.cumsum((l_common < j) | (l_common < 0))
+            both = r_class[fits] * (len(at) + 1) + l_class[fits]
+            order = np.argsort(both)
+            both = both[order]
+            same = np.zeros(len(both), bool)
+            same[1:] = both[1:] == both[:-1]
+            same[:-1] |= same[1:]
+            hit[fits[order[same]]] = True
+        ended = np.flatnonzero(~hit & (since >= 0))
+        out.append((at[ended], since[ended], np.full(len(ended), j - 1)))
+        since[ended] = -1
+        since[hit & (since < 0)] = j
     return tuple(np.concatenate(x) for x in zip(*out))
 
 
