@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from carespan.llm import texts
-from carespan.llm.storage import documents, kept, ship
+from carespan.llm.storage import documents, kept, ship, small_batches, trimmed
 
 WIDTH = 5
 LEAST = 100  # occurrences of a candidate
@@ -119,7 +119,7 @@ def _count_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _frequent_pairs(docs: DataFrame, least: int) -> np.ndarray:
     """A bit for each hash modulo FILTER_BITS that some frequent pair has; its size is fixed."""
-    pairs = docs.mapInArrow(_count_pairs, "pair long, times long").groupBy("pair").agg(F.sum("times").alias("times"))
+    pairs = docs.mapInArrow(trimmed(_count_pairs), "pair long, times long").groupBy("pair").agg(F.sum("times").alias("times"))
     spot = F.pmod("pair", F.lit(FILTER_BITS))
     words = (
         pairs.where(F.col("times") >= least)
@@ -151,7 +151,7 @@ def _longest_grams(hashes: np.ndarray, linked: np.ndarray, seeds: np.ndarray) ->
 def longest_grams(docs: DataFrame, least: int = LEAST) -> DataFrame:
     """(lang, phrase, words, times): each word's longest gram, summed up within tasks only."""
     rows = docs.select("text", F.col("lang").cast("string").alias("lang"))
-    bits = ship(docs.sparkSession).sparkContext.broadcast(_frequent_pairs(rows, least))
+    bits = small_batches(ship(docs.sparkSession)).sparkContext.broadcast(_frequent_pairs(rows, least))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         frequent = bits.value
@@ -184,7 +184,7 @@ def longest_grams(docs: DataFrame, least: int = LEAST) -> DataFrame:
                     names=["lang", "phrase", "words", "times"],
                 )
 
-    return rows.mapInArrow(count, "lang string, phrase string, words long, times long")
+    return rows.mapInArrow(trimmed(count), "lang string, phrase string, words long, times long")
 
 
 def _first_words(phrase: str, k: str) -> Column:

@@ -45,7 +45,7 @@ from pyspark.sql.window import Window
 
 from carespan.llm import texts
 from carespan.llm.components import connected
-from carespan.llm.storage import documents, kept, ship, trimmed
+from carespan.llm.storage import documents, kept, ship, small_batches, trimmed
 
 WIDTH = 5
 BLOCK = 1 << 22  # shingles counted together in a task
@@ -328,7 +328,7 @@ _LINKS = "180 * common >= 80 * (n_a + n_b)"
 
 def _components(docs: DataFrame) -> DataFrame:
     """(doc_id, text_key, root, n_shingles, component_id) of every row of docs (doc_id, text)."""
-    spark = ship(docs.sparkSession)
+    spark = small_batches(ship(docs.sparkSession))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
     survey = "doc_id long, text_key long, node long, n long, token long, times long"
     survey = kept(docs.mapInArrow(trimmed(_survey), survey), "survey")

@@ -15,6 +15,9 @@ from pyspark.sql import DataFrame, SparkSession
 import carespan
 from carespan.session import fresh_path
 
+BATCH_BYTES = 4 << 20
+_BATCH_LIMIT = "spark.sql.execution.arrow.maxBytesPerBatch"
+_BATCH_DEFAULT = "67108864b"
 _SHIPPED: set[str] = set()
 
 
@@ -41,6 +44,17 @@ def ship(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def small_batches(spark: SparkSession) -> SparkSession:
+    """Bound the Arrow batches sent to workers by BATCH_BYTES, unless the session has a bound of its own.
+
+    A batch of texts stands in a task several times over: in buffers of the JVM that grow by doubling, in the worker,
+    and as what is made of it. How rows fall into batches changes no result.
+    """
+    if spark.conf.get(_BATCH_LIMIT, None) == _BATCH_DEFAULT:
+        spark.conf.set(_BATCH_LIMIT, BATCH_BYTES)
+    return spark
+
+
 def trimmed(work: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
     """``work`` for mapInArrow; at its end the worker, which lives on for other tasks, gives freed memory back."""
 

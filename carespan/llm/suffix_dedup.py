@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from carespan.llm import texts
-from carespan.llm.storage import documents, kept, ship, trimmed
+from carespan.llm.storage import documents, kept, ship, small_batches, trimmed
 
 WINDOW = 200
 GRAM = 48
@@ -470,7 +470,7 @@ def repeated_spans(docs: DataFrame) -> DataFrame:
 
 def without_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256) of every row."""
-    ship(docs.sparkSession)
+    small_batches(ship(docs.sparkSession))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("text_key"))
     spans = kept(repeated_spans(docs), "spans")
     by_text = spans.groupBy(F.col("doc_id").alias("s_doc_id"), F.col("text_key").alias("s_text_key")).agg(
