@@ -131,24 +131,43 @@ def risk_all_releases(patients: DataFrame, daily: DataFrame, releases: DataFrame
     the code pattern in release order without the latest release.
 
     A tier is 0 where the patient has no inpatient or emergency line in that
-    release's lookback. Release dates reach the daily rows as one scalar array
-    (a release a month); of them a day keeps those it lies in the lookback of, without a shuffle.
+    release's lookback. Release dates reach the daily rows as one scalar array (a release a month).
+    The releases whose lookback holds a day are neighbours in order of their dates, so a day is two
+    events, in at the first of them and out after the last, however many they are; sums of a patient's events up to a
+    release are the sums of its lookback. A release without a date has an empty lookback.
     """
     dates = releases.agg(
         F.array_sort(F.collect_list(F.struct("ReleaseNum", F.col("HFS_Release_Date").alias("at"))))
     ).scalar()
-    near = F.filter(
-        "releases", lambda r: F.col("ServiceFromDt").between(add_calendar_months(r["at"], -LOOKBACK_MONTHS), r["at"])
+    by_date = F.array_sort(
+        F.transform(
+            F.filter("releases", lambda r: r["at"].isNotNull()),
+            lambda r: F.struct(r["at"].alias("at"), add_calendar_months(r["at"], -LOOKBACK_MONTHS).alias("low"), r["ReleaseNum"].alias("ReleaseNum")),
+        )
     )
-    per_release = (
-        daily.withColumn("releases", dates)
-        .withColumn("r", F.explode(near))
-        .groupBy("RecipientID", F.col("r.ReleaseNum").alias("ReleaseNum"))
-        .agg(F.sum("ED").alias("ED"), F.sum("IP").alias("IP"))
-        .select("RecipientID", "ReleaseNum", risk_tier(F.col("ED"), F.col("IP"), RELEASE_TIERS).cast("int").alias("Tier"))
+    day = F.col("ServiceFromDt")
+    first = F.size(F.filter("by_date", lambda r: r["at"] < day))
+    behind = F.size(F.filter("by_date", lambda r: r["low"] <= day))
+    measures = ("ED", "IP", "days")
+    ends = [F.struct(place.alias("place"), *[(F.col(m) * sign).alias(m) for m in measures]) for place, sign in ((first, 1), (behind, -1))]
+    events = (
+        daily.withColumns({"days": F.lit(1), "releases": dates})
+        .withColumn("by_date", by_date)
+        .where(first < behind)
+        .select("RecipientID", F.inline(F.array(*ends)))
+        .groupBy("RecipientID", "place")
+        .agg(*[F.sum(m).alias(m) for m in measures])
     )
-    tiers = per_release.groupBy("RecipientID").agg(
-        F.map_from_entries(F.collect_list(F.struct("ReleaseNum", "Tier"))).alias("tiers")
+    by_patient = events.groupBy("RecipientID").agg(F.collect_list(F.struct("place", *measures)).alias("events"))
+
+    def tier_at(place: Column) -> Column:
+        until = F.filter("events", lambda e: e["place"] <= place)
+        ed, ip, days = (F.aggregate(F.transform(until, lambda e: e[m]), F.lit(0).cast("long"), lambda a, b: a + b) for m in measures)
+        return F.when(days > 0, risk_tier(ed, ip, RELEASE_TIERS).cast("int")).otherwise(0)
+
+    tiers = by_patient.withColumn("releases", dates).withColumn("by_date", by_date).select(
+        "RecipientID",
+        F.map_from_entries(F.transform("by_date", lambda r, k: F.struct(r["ReleaseNum"], tier_at(k)))).alias("tiers"),
     )
     rows = patients.select("RecipientID").join(tiers, "RecipientID", "left").withColumn("releases", dates)
     tier = F.transform("releases", lambda r: F.coalesce(F.try_element_at("tiers", r["ReleaseNum"]), F.lit(0)))
