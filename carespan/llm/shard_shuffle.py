@@ -11,14 +11,15 @@ combining aggregate and their counts summed up in bucket order, a row for each b
 the whole is its bucket's base plus its place in the bucket.
 
 Nulls, ties and odd rows: a null text counts no bytes and is scattered like any other; a null
-doc_id is a row like any other; rows repeated as a whole share a bucket (the first pass can't tell them apart),
-each with its own place; other columns are written as they are; no rows give no rows. The
-order depends on the rows, the seed and the number of buckets.
+doc_id is a row like any other; rows repeated as a whole are told apart by a column that the
+caller names (the query takes each row's file and number in it, which stay the same however files are split), so they are scattered, too;
+without one they share a bucket, each with its own place. Other columns are written as they are; no rows give no rows. The
+order depends on the rows, that column, the seed and the number of buckets.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -27,22 +28,31 @@ from carespan.session import fresh_path
 
 SHARDS = 40
 BUCKET_BYTES = 8 << 20
-MOST_BUCKETS = 200_000  # beyond 1.6 TB buckets grow instead, to 500 MB at 100 TB
 ROW_BYTES = 16
 SEED = 17
 LAW = "rows"
+NUMBER = "__shard_number"
 
 
 def _size():
     return F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + ROW_BYTES
 
 
-def shuffled_shards(docs: DataFrame, shards: int = SHARDS, bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """docs with its columns in ``row``, and the ``shard`` and ``slot`` of each."""
+def numbered(spark: SparkSession, folder: str) -> DataFrame:
+    """doc_id and text of the documents, and each row's file and number in it as ``NUMBER``."""
+    number = F.xxhash64("_metadata.file_name", "_metadata.row_index").alias(NUMBER)
+    return documents(spark, folder).select("doc_id", "text", number)
+
+
+def shuffled_shards(docs: DataFrame, shards: int = SHARDS, bucket_bytes: int = BUCKET_BYTES, number: str | None = None) -> DataFrame:
+    """docs with its columns in ``row``, and the ``shard`` and ``slot`` of each.
+
+    ``number`` names a column that tells rows equal in doc_id and text apart; it is left out of ``row``.
+    """
     total = docs.agg(F.sum(_size()).alias("bytes"), F.count("*").alias("rows")).first()
-    rows, buckets = total.rows, max(1, min(-(-(total.bytes or 0) // bucket_bytes), MOST_BUCKETS))
-    bucket = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "text"), F.lit(buckets))
-    scattered = docs.select(bucket.alias("bucket"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    rows, buckets = total.rows, max(1, -(-(total.bytes or 0) // bucket_bytes))
+    bucket = F.pmod(F.xxhash64(F.lit(SEED), "doc_id", "text", *([number] if number else [])), F.lit(buckets))
+    scattered = docs.select(bucket.alias("bucket"), F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != number]).alias("row"))
     ordered = Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     bases = (
         docs.select(bucket.alias("bucket"))
@@ -67,17 +77,18 @@ def shuffled_shards(docs: DataFrame, shards: int = SHARDS, bucket_bytes: int = B
     )
 
 
-def write_shards(docs: DataFrame, folder: str, shards: int = SHARDS) -> DataFrame:
+def write_shards(docs: DataFrame, folder: str, shards: int = SHARDS, bucket_bytes: int = BUCKET_BYTES, number: str | None = None) -> DataFrame:
     """Write the shards under ``folder`` (a folder for each) and read them again."""
-    placed = shuffled_shards(docs, shards)
+    placed = shuffled_shards(docs, shards, bucket_bytes, number)
     placed.write.partitionBy("shard").parquet(folder)
     schema = placed.schema
     return docs.sparkSession.read.schema(schema).parquet(folder).select("row", "shard", "slot")
 
 
-def shard_digests(docs: DataFrame, folder: str) -> DataFrame:
+def shard_digests(docs: DataFrame, folder: str, bucket_bytes: int = BUCKET_BYTES, number: str | None = None) -> DataFrame:
     """Contract columns of every row, from the files written."""
-    written = write_shards(docs.select("doc_id", "text"), folder)
+    columns = ["doc_id", "text", *([number] if number else [])]
+    written = write_shards(docs.select(*columns), folder, bucket_bytes=bucket_bytes, number=number)
     text = F.col("row.text")
     return written.select(
         F.col("row.doc_id").alias("doc_id"),
@@ -91,4 +102,4 @@ def shard_digests(docs: DataFrame, folder: str) -> DataFrame:
 
 
 def op9_two_pass_shards(spark, folder: str) -> DataFrame:
-    return shard_digests(documents(spark, folder), fresh_path(spark, "llm-shards"))
+    return shard_digests(numbered(spark, folder), fresh_path(spark, "llm-shards"), number=NUMBER)

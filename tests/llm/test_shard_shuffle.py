@@ -24,18 +24,17 @@ def check(got, rows, shards=40):
     assert {(r.law, r.grown_shard) for r in got} <= {("rows", None)}
 
 
-def test_law_and_files(spark, monkeypatch):
-    monkeypatch.setattr(shard_shuffle, "BUCKET_BYTES", 4000)
+def test_law_and_files(spark):
     rows = rows_of(1000)
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("bucket", F.lit(1)).withColumn("row", F.lit("r"))
     folder = fresh_path(spark, "shards")
-    got = shard_shuffle.shard_digests(docs, folder).collect()
+    got = shard_shuffle.shard_digests(docs, folder, bucket_bytes=4000).collect()
     check(got, rows)
     assert spark.read.parquet(f"{folder}/shard=7").count() in (30, 31)
     order = [r.doc_id for r in sorted(got, key=lambda r: (r.shard, r.slot)) if r.doc_id is not None]
     rising = sum(a < b for a, b in zip(order, order[1:]))
     assert 0.4 < rising / len(order) < 0.6
-    again = shard_shuffle.shard_digests(docs, fresh_path(spark, "shards")).collect()
+    again = shard_shuffle.shard_digests(docs, fresh_path(spark, "shards"), bucket_bytes=4000).collect()
     assert sorted(map(str, again)) == sorted(map(str, got))
 
 
@@ -51,3 +50,22 @@ def test_few_and_no_rows(spark):
         check(shard_shuffle.shard_digests(docs, fresh_path(spark, "shards")).collect(), rows) if rows else None
         if not rows:
             assert shard_shuffle.shard_digests(docs, fresh_path(spark, "shards")).count() == 0
+
+
+def test_equal_rows_of_files_are_scattered(spark):
+    folder = fresh_path(spark, "equal")
+    rows = [(k, f"text {k}") for k in range(1000)] + [(5, "same")] * 500 + [(None, None)] * 300
+    spark.createDataFrame(rows, "doc_id long, text string").repartition(3).write.parquet(f"{folder}/documents.parquet")
+    docs = shard_shuffle.numbered(spark, folder)
+    got = shard_shuffle.shard_digests(docs, fresh_path(spark, "shards"), bucket_bytes=1000, number=shard_shuffle.NUMBER).collect()
+    check(got, rows)
+    for same in (lambda r: r.doc_id is None, lambda r: r.doc_id == 5 and r.size == 20):
+        held = Counter(r.shard for r in got if same(r))
+        assert len(held) > 35 and max(held.values()) < 35  # of 45 rows in a shard
+    # However the files are split, the rows fall into the same shards.
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "2000")
+    again = shard_shuffle.shard_digests(shard_shuffle.numbered(spark, folder), fresh_path(spark, "shards"), bucket_bytes=1000, number=shard_shuffle.NUMBER)
+    same_again = sorted(map(str, again.collect())) == sorted(map(str, got))
+    spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert same_again
