@@ -1,7 +1,7 @@
 """Sharding by a two-pass external shuffle, with DataFrame functions only.
 
 First pass: rows are scattered uniformly into buckets of about ``BUCKET_BYTES`` by a seeded
-hash of doc_id and text, so a bucket fits in a task's memory however large the table is. Second
+hash of doc_id, text and row number, so a bucket fits in a task's memory however large the table is. Second
 pass: each bucket's rows, in a fixed order, are shuffled by Fisher-Yates (Spark's ``shuffle`` of an
 array, with a seed) and written. The buckets one after another are a random order of all rows;
 the shards are its equal parts.
