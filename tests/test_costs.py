@@ -111,6 +111,40 @@ def test_rolling_rows_cross_the_network_only_before_they_are_dense(spark):
     assert "Exchange" not in dense_side
 
 
+def test_rows_for_each_window_are_neither_sorted_nor_grouped(spark):
+    cells = rolling.rolling_cells(monthly(spark, random_costs(5)), rolling.measure_cell(), rolling.zero_cell)
+    plan = cells._jdf.queryExecution().executedPlan().toString()
+    after = plan[: plan.index("Generate")]  # steps after the windows were told apart
+    assert "Aggregate" not in after and "Sort" not in after
+
+
+def test_demographics_come_to_dense_rows_without_moving_them(spark):
+    people = [(f"p{i}", "Engaged", "Asthma", "Low", "0-1", "Male") for i in range(25)]
+    patients = spark.createDataFrame(people, "RecipientID string, Population_Type string, Diagnosis_Category string, Program_Risk string, Program_Age_Category string, Gender string")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with many patients
+    try:
+        rows = rolling.rolling_12(monthly(spark, random_costs(5)))
+        joined = rolling.demo_inner(rows, patients)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        dense = plan[: plan.index("Generate")]
+        assert "Exchange" not in dense and "Sort" not in dense
+        assert joined.count() == rows.count()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+
+
+def test_a_rolling_run_starts_from_written_sums(spark):
+    from carespan.plans import analysis
+    from carespan.queries.claims import categorized
+    from carespan.queries.registry import Inputs
+
+    t = Inputs(spark, "/root/testdata/sf0.001")
+    for frame in analysis.rolling_run(categorized(t), t.in_patient).values():
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert "monthly_sums-" in plan and "categorized-" not in plan
+
+
 def test_windows_use_average_months(spark):
     patients = spark.createDataFrame([("a", date(2014, 10, 31), 1), ("b", date(2016, 4, 30), 1)], "RecipientID string, Program_Date date, ReleaseNum int")
     out = {r.RecipientID: (r.Negative_Duration, r.Positive_Duration) for r in prepost.pt_windows(patients, F.lit(date(2016, 8, 31))).collect()}
