@@ -1,5 +1,6 @@
 """Hand-worked claims: categories, counts, visits, days, ties and lost lines."""
 
+import random
 from datetime import date
 from decimal import Decimal
 
@@ -218,3 +219,51 @@ def test_one_pass_equals_the_branches(spark):
     )
     assert together.dtypes == branches.dtypes and together.count() == branches.count()
     assert together.exceptAll(branches).count() == 0
+
+
+def random_lines(spark):
+    """Documents with repeated and null keys, and details of all kinds that belong to a claim, to none, or to a null key."""
+    pick = random.Random(11)
+    keys = []
+    for k in range(300):
+        # Most lines of one document, so that it counts as hot.
+        document = "hot" if k % 3 == 0 else pick.choice(["d1", "d2", "d3", None])
+        keys.append((document, f"{pick.randint(0, 60):02d}", pick.choice(["N", "Y", None]), pick.choice(["1", "2", None]) if document != "hot" else "1", DAY))
+    lines = [(k, pick.choice("IONX"), date(2016, 3, pick.randint(1, 9)), date(2016, 3, pick.randint(10, 28)), "1.50", None) for k in keys]
+    some = lambda: pick.choices(keys, k=250) + [("none", "01", "N", "1", DAY)]
+    return (
+        claims(spark, lines),
+        detail(spark, "UBTypeofBillCd int", [(k, pick.choice([111, 211, None])) for k in some()]),
+        detail(spark, "RevenueCd string, RevenueHCPCSCd string", [(k, pick.choice(["0450", "0001", None]), pick.choice(["H1", "H2", None])) for k in some()]),
+        detail(spark, "ProcCd string", [(k, pick.choice(["P1", "P2", None])) for k in some()]),
+        detail(spark, "PlaceOfServiceCd string", [(k, pick.choice(["11", "22", None])) for k in some()]),
+        spark.createDataFrame(
+            [("OUTPATIENT", "EMERGENCY", "EMERGENCY_OP", 1.0, 1.0, "0450", "H1", None, None),
+             ("OUTPATIENT", "ANCILLARY", "DME_OP", 9.0, 9.0, "0290", "H2", None, None),
+             ("NIPS", "VISIT", "OFFICE_VISIT", 2.0, 2.0, None, None, "P1", "11"),
+             ("NIPS", "DRUG", "DRUG_PROF", 6.0, 6.0, None, None, "P2", "")], RULES),
+    )
+
+
+def test_ways_of_hot_and_other_documents_agree(spark, monkeypatch):
+    from carespan.operators import one_pass
+
+    tables = random_lines(spark)
+    assert one_pass.hot_documents(list(tables[:5])) is None
+    together = one_pass.categorize_all(*tables)
+    by_key = one_pass._by_claim_key(tables[0].where("RecordIDCd <> 'X'"), *tables[1:])
+    assert together.count() > 100 and together.dtypes == by_key.dtypes
+    assert together.exceptAll(by_key).count() == 0 and by_key.exceptAll(together).count() == 0
+    monkeypatch.setattr(skew, "HOT_ROWS", 150)
+    assert [r.DCN for r in one_pass.hot_documents(list(tables[:5])).collect()] == ["hot"]
+    split = one_pass.categorize_all(*tables)
+    assert together.exceptAll(split).count() == 0 and split.exceptAll(together).count() == 0
+
+
+def test_claims_and_details_are_shuffled_once_by_document(spark):
+    from carespan.operators.one_pass import categorize_all
+
+    plan = categorize_all(*random_lines(spark))._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    assert sum("REPARTITION_BY_COL" in line for line in exchanges) == 1
+    assert not any("ServiceLineNbr" in line for line in exchanges) and "SortMergeJoin" not in plan
