@@ -14,6 +14,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: list[tempfile.TemporaryDirectory] = []
+# Of the intermediate tables, which are written once and read a few times.
+COMPRESSION = "zstd"
+
 
 def build_session(app: str = "carespan", cpus: int | None = None) -> SparkSession:
     cores = str(cpus) if cpus else "*"
@@ -60,5 +63,5 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def written(frame: DataFrame, name: str) -> DataFrame:
     """The frame from a table in the shared folder: worked out once, whatever reads it."""
     path = fresh_path(frame.sparkSession, name)
-    frame.write.parquet(path)
+    frame.write.option("compression", COMPRESSION).parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)

@@ -59,3 +59,18 @@ def test_staged_table_is_written_again_when_its_folder_is_gone(spark):
     registry._STAGED[key] = "/nonexistent/probe"
     assert inputs.stage("probe", lambda: spark.range(3)).count() == 3
     assert registry._STAGED.pop(key) != "/nonexistent/probe"
+
+
+def test_a_staged_join_is_written_as_numbers_without_a_shuffle_of_its_own(spark):
+    from carespan.queries import registry
+    from carespan.queries.bindings import BINDINGS
+
+    binding = BINDINGS["in_line"]
+    assert registry.cast_columns(binding)["l_extendedprice"] == "decimal(18,2)" and "l_orderkey" not in registry.cast_columns(binding)
+    inputs = registry.Inputs(spark, FOLDER)
+    rows = inputs.in_line
+    staged = spark.read.parquet(registry._STAGED[spark.sparkContext.applicationId, FOLDER, "in_line"])
+    assert "l_orderkey" in staged.columns and "DCN" not in staged.columns
+    plain = inputs._bound(binding)
+    assert rows.dtypes == plain.dtypes
+    assert rows.exceptAll(plain).count() == 0 and plain.exceptAll(rows).count() == 0
