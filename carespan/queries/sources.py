@@ -66,7 +66,8 @@ def _register_load(layout: Layout) -> None:
 
     def load(t: Inputs) -> DataFrame:
         path = fresh_path(t.spark, layout.key)
-        fixed_width_lines(getattr(t, name), layout).write.text(path)
+        # Blanks and padding make up most of an extract, so its files are compressed.
+        fixed_width_lines(getattr(t, name), layout).write.option("compression", "gzip").text(path)
         return read_extract(t.spark, path, layout)
 
     register(layout.key, _out(layout), f"SELECT * FROM {name}")(load)

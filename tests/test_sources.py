@@ -280,3 +280,13 @@ def test_tables_by_name(spark, tmp_path):
     with pytest.raises(ValueError):
         tables.catalog_scan(spark, "a b")
     spark.sql("DROP TABLE named_rows")
+
+
+def test_a_loaded_extract_is_compressed(spark, monkeypatch, tmp_path):
+    from carespan.queries import registry, sources
+
+    monkeypatch.setattr(sources, "fresh_path", lambda session, name: str(tmp_path / name))
+    rows = registry.QUERIES["load_recipient_flags"](spark, "/root/testdata/sf0.001")
+    assert rows.count() == registry.Inputs(spark, "/root/testdata/sf0.001").in_line.count()
+    parts = [p for p in (tmp_path / "load_recipient_flags").iterdir() if p.name.startswith("part-")]
+    assert parts and all(p.suffix == ".gz" for p in parts)
