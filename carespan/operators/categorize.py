@@ -375,11 +375,15 @@ def categorize_claims(
     nips: DataFrame,
     rules: DataFrame,
     summary_map: DataFrame,
+    dealt: bool = False,
 ) -> DataFrame:
-    """All three branches with price and summary category; keeps the claim columns."""
+    """All three branches with price and summary category; keeps the claim columns.
+
+    ``dealt``: the tables lie by document already, in as many buckets each.
+    """
     from carespan.operators.one_pass import categorize_all
 
-    branches = categorize_all(claims, institutional, revenue, procedures, nips, rules)
+    branches = categorize_all(claims, institutional, revenue, procedures, nips, rules, dealt)
     priced = branches.withColumns(
         {
             "AdjustedPriceAmt": F.greatest("NetLiabilityAmt", "EncounterPriceAmt"),

@@ -146,21 +146,36 @@ def _of_documents(table: DataFrame, documents: DataFrame, how: str) -> DataFrame
 
 
 def categorize_all(
-    claims: DataFrame, institutional: DataFrame, revenue: DataFrame, procedures: DataFrame, nips: DataFrame, rules: DataFrame
+    claims: DataFrame,
+    institutional: DataFrame,
+    revenue: DataFrame,
+    procedures: DataFrame,
+    nips: DataFrame,
+    rules: DataFrame,
+    dealt: bool = False,
 ) -> DataFrame:
-    """Claim columns with categories and counts of all branches."""
+    """Claim columns with categories and counts of all branches. ``dealt``: the tables lie by document already."""
     tables = [claims.where(F.col("RecordIDCd").isin("I", "O", "N")), institutional, revenue, procedures, nips]
     hot = hot_documents(tables)
     if hot is None:
-        return _within_documents(*tables, rules)
-    even = _within_documents(*[_of_documents(t, hot, "left_anti") for t in tables], rules)
+        return _within_documents(*tables, rules, dealt)
+    even = _within_documents(*[_of_documents(t, hot, "left_anti") for t in tables], rules, dealt)
     return even.unionByName(_by_claim_key(*[_of_documents(t, hot, "left_semi") for t in tables], rules))
 
 
 def _within_documents(
-    claims: DataFrame, institutional: DataFrame, revenue: DataFrame, procedures: DataFrame, nips: DataFrame, rules: DataFrame
+    claims: DataFrame,
+    institutional: DataFrame,
+    revenue: DataFrame,
+    procedures: DataFrame,
+    nips: DataFrame,
+    rules: DataFrame,
+    dealt: bool = False,
 ) -> DataFrame:
-    """One shuffle of claims and details by document; windows over claim keys and documents stay in the partition."""
+    """One shuffle of claims and details by document, none if they lie so; windows over claim keys and documents stay in the partition.
+
+    Said of tables that don't, ``dealt`` only makes the windows shuffle by themselves.
+    """
     op_outcomes = branch.op_outcomes(rules.where(F.col("Category1") == "OUTPATIENT"))
     nips_outcomes = branch.nips_outcomes(rules.where(F.col("Category1") == "NIPS"))
     own = [c for c in claims.columns if c not in CLAIM_KEY]
@@ -178,9 +193,10 @@ def _within_documents(
         matched = part if name == "_claim" else part.dropna(subset=CLAIM_KEY)
         return matched.select(*CLAIM_KEY, *[F.col(n) if n == name else F.lit(None).cast(types[n]).alias(n) for n in types])
 
-    dealt = reduce(DataFrame.unionAll, [wide(n, p) for n, p in parts.items()]).repartition(*DOCUMENT_KEY)
+    together = reduce(DataFrame.unionAll, [wide(n, p) for n, p in parts.items()])
+    by_document = together if dealt else together.repartition(*DOCUMENT_KEY)
     ranked = procedure_rules(rules, nips_outcomes).withColumnRenamed("ProcCd", "_ProcCd")
-    ruled = dealt.join(F.broadcast(ranked), F.col("_procedure.ProcCd") == F.col("_ProcCd"), "left")
+    ruled = by_document.join(F.broadcast(ranked), F.col("_procedure.ProcCd") == F.col("_ProcCd"), "left")
     rules_of = F.when(F.col("_procedure").isNotNull(), F.coalesce("rules", _rule_entries()))
     of_claim = W.partitionBy(*DOCUMENT_KEY, *[c for c in CLAIM_KEY if c not in DOCUMENT_KEY])
     taken = {

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from carespan.functions.skew import attach_summary, summarize
 from carespan.operators import categorize as cat
 from carespan.operators import keys
+from carespan.operators.one_pass import hot_documents
 from carespan.operators.refresh import ClaimTables, refresh
 from carespan.queries.bindings import KEY
 from carespan.queries.registry import Inputs, fragment, register
@@ -120,8 +121,12 @@ def categorized(t: Inputs) -> DataFrame:
 
 
 def categorize(t: Inputs) -> DataFrame:
+    """Over lines that lie by document, unless a document is hot: its lines would be dealt into one task."""
+    dealt = hot_documents([t.in_line]) is None
+    if dealt:
+        t = t.by_document()
     return cat.categorize_claims(
-        t.in_claims, t.in_institutional, t.in_revenue, t.in_procedure, t.in_nips, t.in_bill_rules, t.in_summary_map
+        t.in_claims, t.in_institutional, t.in_revenue, t.in_procedure, t.in_nips, t.in_bill_rules, t.in_summary_map, dealt
     )
 
 

@@ -267,3 +267,58 @@ def test_claims_and_details_are_shuffled_once_by_document(spark):
     exchanges = [line for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     assert sum("REPARTITION_BY_COL" in line for line in exchanges) == 1
     assert not any("ServiceLineNbr" in line for line in exchanges) and "SortMergeJoin" not in plan
+
+
+def test_tables_said_to_lie_by_document_need_not(spark):
+    from carespan.operators.one_pass import categorize_all
+
+    tables = random_lines(spark)
+    dealt, said = categorize_all(*tables), categorize_all(*tables, dealt=True)
+    assert dealt.count() > 100 and dealt.exceptAll(said).count() == 0 and said.exceptAll(dealt).count() == 0
+
+
+def line_folder(spark, folder):
+    """Raw tables with few lines: repeated ones, orders and lines with null keys, a line without an order."""
+    spark.range(40).selectExpr("id AS p_partkey", "concat('Brand#', id % 5 + 1, '1') AS p_brand", "cast(id AS int) AS p_size", "900.5D AS p_retailprice").write.parquet(f"{folder}/part.parquet")
+    spark.range(30).selectExpr("id AS o_orderkey", "nullif(id % 4, 3) AS o_custkey", "timestamp'2000-01-05' AS o_orderdate").write.parquet(f"{folder}/orders.parquet")
+    lines = spark.range(120).selectExpr(
+        "nullif(id % 32, 7) AS l_orderkey", "id % 40 AS l_partkey", "id % 3 AS l_suppkey", "cast(id % 4 + 1 AS int) AS l_linenumber",
+        "element_at(array('A', 'R', 'N'), cast(id % 3 + 1 AS int)) AS l_returnflag", "if(id % 2 = 0, 'F', 'O') AS l_linestatus", "timestamp'2000-02-05' AS l_shipdate",
+        "id * 1.5D AS l_extendedprice", "0.05D AS l_discount", "0.02D AS l_tax", "2D AS l_quantity",
+    )
+    lines.union(lines.where("l_orderkey < 5")).write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+def test_claims_are_categorized_without_a_shuffle_of_lines(spark, tmp_path, monkeypatch):
+    from carespan.queries import claims as queries
+    from carespan.queries.registry import Inputs
+
+    t = Inputs(spark, line_folder(spark, tmp_path))
+    laid = t.by_document().in_line
+    assert laid.dtypes == t.in_line.dtypes and laid.count() == t.in_line.count() > 100
+    assert laid.exceptAll(t.in_line).count() == 0 and t.in_line.exceptAll(laid).count() == 0
+    found = queries.categorize(t)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert not any("Exchange" in line and ("DCN" in line or "RecipientID" in line) for line in plan.splitlines())
+    plain = cat.categorize_claims(t.in_claims, t.in_institutional, t.in_revenue, t.in_procedure, t.in_nips, t.in_bill_rules, t.in_summary_map)
+    assert found.count() > 50 and found.exceptAll(plain).count() == 0 and plain.exceptAll(found).count() == 0
+    # A hot document is not dealt into one bucket.
+    monkeypatch.setattr(skew, "HOT_ROWS", 5)
+    monkeypatch.setattr(Inputs, "by_document", lambda self: pytest.fail("dealt"))
+    assert queries.categorize(t).exceptAll(plain).count() == 0
+
+
+def test_a_dealt_table_has_buckets_by_its_rows(spark, tmp_path, monkeypatch):
+    from carespan.queries import registry
+
+    monkeypatch.setattr(registry, "BUCKET_ROWS", 10)
+    inputs = registry.Inputs(spark, str(tmp_path))
+    build = lambda: spark.range(95).selectExpr("id % 30 AS k", "id")
+    assert inputs.stage_dealt("dealt_probe", ["k"], build).count() == 95
+    path = registry._STAGED[spark.sparkContext.applicationId, str(tmp_path), "dealt_probe"]
+    described = {r.col_name: r.data_type for r in spark.sql(f"DESCRIBE EXTENDED {path.rsplit('/', 1)[1]}").collect()}
+    assert described["Num Buckets"] == "10"
+    assert len(inputs.stage_dealt("dealt_probe", ["k"], lambda: pytest.fail("written again")).columns) == 2
+    registry._STAGED[spark.sparkContext.applicationId, str(tmp_path), "dealt_probe"] = "/nonexistent/probe"
+    assert inputs.stage_dealt("dealt_probe", ["k"], build).count() == 95
