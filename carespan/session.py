@@ -14,6 +14,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _LOCAL: list[tempfile.TemporaryDirectory] = []
+_METHOD_LIMIT, _METHOD_DEFAULT, METHOD_BYTES = "spark.sql.codegen.hugeMethodLimit", "65535", "8000"
 # Of the intermediate tables, which are written once and read a few times.
 COMPRESSION = "zstd"
 
@@ -38,6 +39,16 @@ def build_session(app: str = "carespan", cpus: int | None = None) -> SparkSessio
     )
 
 
+def small_methods(spark: SparkSession) -> SparkSession:
+    """Leave generated methods of wide rows split where the JVM would not compile them, unless the session has a limit of its own.
+
+    The JVM interprets methods of more than METHOD_BYTES; Spark's default lets a stage be one method several times that.
+    """
+    if spark.conf.get(_METHOD_LIMIT, _METHOD_DEFAULT) == _METHOD_DEFAULT:
+        spark.conf.set(_METHOD_LIMIT, METHOD_BYTES)
+    return spark
+
+
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 

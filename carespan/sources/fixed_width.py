@@ -11,12 +11,22 @@ from carespan.sources.layouts import Field, Layout
 AMOUNT = "decimal(18,2)"
 
 
-def _text(raw: Column, field: Field) -> Column:
-    return F.trim(F.substring(raw, field.start, field.width))
+_LINE, _SINGLE = "_line", "_single"
 
 
-def _typed(raw: Column, field: Field) -> Column:
-    text = _text(raw, field)
+def _laid(lines: DataFrame, column: str) -> DataFrame:
+    """The line, and whether each of its characters is one byte."""
+    return lines.select(F.col(column).alias(_LINE), (F.octet_length(column) == F.char_length(column)).alias(_SINGLE))
+
+
+def _text(field: Field) -> Column:
+    """A field's text. Characters are counted from the start of the line, for every field anew; bytes, where they are the same, are not."""
+    cut = F.substring(F.col(_LINE).cast("binary"), field.start, field.width).cast("string")
+    return F.trim(F.when(F.col(_SINGLE), cut).otherwise(F.substring(F.col(_LINE), field.start, field.width)))
+
+
+def _typed(field: Field) -> Column:
+    text = _text(field)
     if field.kind == "d":
         return parse_iso_date(text)
     if field.kind == "n":
@@ -26,8 +36,7 @@ def _typed(raw: Column, field: Field) -> Column:
 
 def fixed_width_scan(lines: DataFrame, layout: Layout, column: str = "value") -> DataFrame:
     """Split one text column into the layout's columns. Works on batch and streaming frames."""
-    raw = F.col(column)
-    return lines.select(*[_typed(raw, f).alias(f.name) for f in layout.fields])
+    return _laid(lines, column).select(*[_typed(f).alias(f.name) for f in layout.fields])
 
 
 REJECTED = "_Rejected"
@@ -35,15 +44,14 @@ REJECTED = "_Rejected"
 
 def scan_with_rejects(lines: DataFrame, layout: Layout, column: str = "value") -> DataFrame:
     """The scan with REJECTED, an array of (Field, Raw_Text): dates and numbers that are neither blank nor readable, NULL in their column."""
-    raw = F.col(column)
     odd = [
-        F.when((_text(raw, f) != "") & _typed(raw, f).isNull(), F.struct(F.lit(f.name).alias("Field"), _text(raw, f).alias("Raw_Text")))
+        F.when((_text(f) != "") & _typed(f).isNull(), F.struct(F.lit(f.name).alias("Field"), _text(f).alias("Raw_Text")))
         for f in layout.fields
         if f.kind in "dn"
     ]
     none = F.array().cast("array<struct<Field:string,Raw_Text:string>>")
     found = F.array_compact(F.array(*odd)) if odd else none
-    return lines.select(*[_typed(raw, f).alias(f.name) for f in layout.fields], found.alias(REJECTED))
+    return _laid(lines, column).select(*[_typed(f).alias(f.name) for f in layout.fields], found.alias(REJECTED))
 
 
 def rejected_fields(scanned: DataFrame, table: str) -> DataFrame:

@@ -290,3 +290,36 @@ def test_a_loaded_extract_is_compressed(spark, monkeypatch, tmp_path):
     assert rows.count() == registry.Inputs(spark, "/root/testdata/sf0.001").in_line.count()
     parts = [p for p in (tmp_path / "load_recipient_flags").iterdir() if p.name.startswith("part-")]
     assert parts and all(p.suffix == ".gz" for p in parts)
+
+
+def test_fields_are_cut_by_bytes_where_characters_are_bytes(spark):
+    layout = LAYOUTS["load_adjustments"]
+    line = "D" * 15 + "01" + "R" * 9 + "2001-02-03" + "       1.50" + "           " + "V"
+    rows = [(line,), (line.replace("D", "é"),), (line.replace("2001-02-03", " 2001-2-3 "),), (line[:20],), ("",), (None,)]
+    found = fixed_width_scan(spark.createDataFrame(rows, "value string"), layout)
+    assert "octet_length" in found._jdf.queryExecution().optimizedPlan().toString()
+    plain, wide, odd, short, empty, none = found.collect()
+    assert plain[1:] == wide[1:] == odd[1:] == ("01", "R" * 9, date(2001, 2, 3), Decimal("1.50"), None, "V")
+    assert (plain.DCN, wide.DCN) == ("D" * 15, "é" * 15)
+    assert short[:4] == ("D" * 15, "01", "RRR", None) and empty[:4] == ("", "", "", None) and none[:4] == (None,) * 4
+
+
+def test_dates_are_read_as_by_their_pattern(spark):
+    from carespan.functions.dates import parse_iso_date
+
+    texts = ["2001-02-03", "2001-2-3", "0000-00-00", "0000-01-01", "2001-02-30", "2000-02-29", "", "2001-02-0T", "2001-02-1T", "12001-02-03", "2001/02/03", "٢٠٠١-٠٢-٠٣", None]
+    rows = spark.createDataFrame([(t,) for t in texts], "t string")
+    compared = rows.select(parse_iso_date(F.col("t")).cast("string").alias("a"), F.try_to_date("t", "y-M-d").cast("string").alias("b")).collect()
+    assert [r.a for r in compared] == [r.b for r in compared]
+
+
+def test_a_load_leaves_wide_rows_to_the_compiler(spark, monkeypatch, tmp_path):
+    from carespan.queries import registry
+    from carespan.queries.sources import BINDINGS
+
+    limit = spark.conf.get("spark.sql.codegen.hugeMethodLimit")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", "65535")
+    monkeypatch.setitem(BINDINGS, "in_load_recipient_flags", "SELECT '000000001' AS RecipientID, 'AB' AS RecipientFlagCd")
+    assert registry.QUERIES["load_recipient_flags"](spark, str(tmp_path)).collect() == [("000000001", "AB")]
+    assert spark.conf.get("spark.sql.codegen.hugeMethodLimit") == "8000"
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", limit)
