@@ -22,6 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carespan.functions import skew
 from carespan.operators.keys import DOCUMENT_KEY
 from carespan.queries.bindings import BINDINGS, Fixed, fixed_frame, fixed_sql, spark_sql_text, sql_text
 from carespan.session import COMPRESSION, fresh_path, shared_folder
@@ -40,6 +41,8 @@ STAGED_BINDINGS = ("in_line",)
 _STAGED: dict[tuple[str, str, str], str] = {}
 # Rows of a bucket of a staged table that is dealt by key: sorts over what derives from it stay in memory, whatever the table's size.
 BUCKET_ROWS = 250_000
+HASHES = 1 << 16
+_HOT: dict[tuple[str, str, int], bool] = {}
 
 
 class Inputs:
@@ -67,8 +70,11 @@ class Inputs:
         _STAGED[key] = path
         return self.spark.read.parquet(path)
 
-    def stage_dealt(self, name: str, by: Sequence[str], build: Callable[[], DataFrame]) -> DataFrame:
-        """As ``stage``, dealt into buckets by columns: windows over these and further columns need no shuffle."""
+    def stage_dealt(self, name: str, by: Sequence[str], build: Callable[[], DataFrame], buckets: int | None = None) -> DataFrame:
+        """As ``stage``, dealt into buckets by columns: windows over these and further columns need no shuffle.
+
+        With ``buckets`` the frame lies in so many partitions by these columns already and is written as it lies.
+        """
         key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key in _STAGED:
             try:
@@ -77,32 +83,35 @@ class Inputs:
             except AnalysisException:
                 pass  # the folder was cleared in between, so it is written again
         frame = build()
-        buckets = max(self.spark.sparkContext.defaultParallelism, -(-frame.count() // BUCKET_ROWS))
+        if buckets is None:
+            buckets = self.buckets(frame)
+            frame = frame.repartition(buckets, *by)
         table = f"{name}_{uuid.uuid4().hex}"
         path = f"{shared_folder(self.spark).rstrip('/')}/{table}"
-        dealt = frame.repartition(buckets, *by).write.bucketBy(buckets, *by).option("compression", COMPRESSION)
+        dealt = frame.write.bucketBy(buckets, *by).option("compression", COMPRESSION)
         dealt.option("path", path).saveAsTable(table, format="parquet")
         _STAGED[key] = path
         return self.spark.table(table)
 
+    def buckets(self, rows: DataFrame) -> int:
+        """Buckets for a table that is dealt by key and has about as many rows."""
+        return max(self.spark.sparkContext.defaultParallelism, -(-rows.count() // BUCKET_ROWS))
+
+    def document_buckets(self) -> int:
+        """Buckets of the claim lines that lie by document."""
+        return self.buckets(self.lineitem)
+
     def by_document(self) -> Inputs:
-        """The same inputs over a copy of the staged claim lines that lies by document.
+        """The same inputs over staged claim lines that lie by document.
 
         A document's lines are in one bucket, so none should have HOT_ROWS lines.
         """
         rows = joined_and_rows(BINDINGS["in_line"])[1]
         laid = {c: f"_{c}" for c in DOCUMENT_KEY}
-
-        def with_columns(staged: DataFrame, columns: str) -> DataFrame:
-            return self.spark.sql(spark_sql_text(rows.replace("\nFROM", f", {columns}\nFROM")), staged=staged)
-
-        def build() -> DataFrame:
-            lines = self._staged_join("in_line")
-            return with_columns(lines, "*").select(*[F.col(c).alias(n) for c, n in laid.items()], *lines.columns)
-
-        staged = self.stage_dealt("in_line_by_document", list(laid.values()), build)
         # The keys as they were dealt by: worked out again, they would not be known to lie together.
-        lines = with_columns(staged, ", ".join(laid.values()))
+        staged = self._lines_by_document()
+        with_keys = rows.replace("\nFROM", f", {', '.join(laid.values())}\nFROM")
+        lines = self.spark.sql(spark_sql_text(with_keys), staged=staged)
         other = Inputs(self.spark, self.folder)
         other._frames["in_line"] = lines.select(*[F.col(laid[c]).alias(c) if c in laid else c for c in self.in_line.columns])
         return other
@@ -125,9 +134,52 @@ class Inputs:
         return self._bound(binding)
 
     def _staged_join(self, name: str) -> DataFrame:
+        if not self._has_hot_order():
+            return self._lines_by_document()
         binding = BINDINGS[name]
         return self.stage(name, lambda: self._bound(joined_and_rows(binding)[0], cast_columns(binding)))
 
+    def _has_hot_order(self) -> bool:
+        """Whether an order may have HOT_ROWS lines; told by counts of hashes, so nothing is shuffled for it."""
+        key = (self.spark.sparkContext.applicationId, self.folder, skew.HOT_ROWS)
+        if key not in _HOT:
+            order = F.pmod(F.xxhash64("l_orderkey"), F.lit(HASHES))
+            lines = self.lineitem.where("l_orderkey IS NOT NULL").groupBy(order.alias("h")).count()
+            _HOT[key] = (lines.agg(F.max("count").alias("n")).first().n or 0) >= skew.HOT_ROWS
+        return _HOT[key]
+
+    def _lines_by_document(self) -> DataFrame:
+        """The join behind claim lines, dealt by document by the same shuffle that its orders are joined in.
+
+        Orders are joined by the text that documents go by, so lines lie by document when they come out of the join. The
+        numbers are compared too, as long ones are cut short in the text.
+        """
+        binding = BINDINGS["in_line"]
+        document, patient = (re.search(rf"(lpad\([^\n]*?'0'\)) AS {c}\b", binding).group(1) for c in ("DCN", "RecipientID"))
+        join = joined_and_rows(binding)[0]
+        columns = re.findall(r"\b[a-z]\.(\w+)", join.split("\nFROM ")[0])
+        casts = cast_columns(binding)
+
+        def text(key: str, of: str = "l_orderkey") -> Column:
+            return F.expr(re.sub(r"\b[a-z]\.", "", key).replace("l_orderkey", of))
+
+        def table(name: str, *keys: str) -> DataFrame:
+            rows = getattr(self, name)
+            rows = rows.select(*[c for c in rows.columns if c in columns or c in keys])
+            return rows.withColumns({c: F.col(c).cast(casts[c]) for c in rows.columns if c in casts})
+
+        def build() -> DataFrame:
+            line_key, order_key = text(document), text(document, "o_orderkey")
+            lines = table("lineitem").join(table("part", "p_partkey"), F.col("l_partkey") == F.col("p_partkey"))
+            lines = lines.select(*[c for c in lines.columns if c in columns]).repartition(buckets, line_key)
+            orders = table("orders", "o_orderkey").repartition(buckets, order_key)
+            same = F.col("l_orderkey").between(F.col("o_orderkey"), F.col("o_orderkey"))
+            joined = lines.join(orders, (line_key == order_key) & same)
+            return joined.select(line_key.alias("_DCN"), text(patient).alias("_RecipientID"), *columns)
+
+        buckets = self.document_buckets()
+        return self.stage_dealt("in_line_by_document", ["_DCN"], build, buckets)
+
     def _bound(self, binding: str, casts: dict[str, str] | None = None) -> DataFrame:
         used = {n: getattr(self, n) for n in re.findall(r"\{(\w+)\}", binding)}
         if casts:

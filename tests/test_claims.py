@@ -322,3 +322,24 @@ def test_a_dealt_table_has_buckets_by_its_rows(spark, tmp_path, monkeypatch):
     assert len(inputs.stage_dealt("dealt_probe", ["k"], lambda: pytest.fail("written again")).columns) == 2
     registry._STAGED[spark.sparkContext.applicationId, str(tmp_path), "dealt_probe"] = "/nonexistent/probe"
     assert inputs.stage_dealt("dealt_probe", ["k"], build).count() == 95
+
+
+def test_lines_are_joined_and_dealt_by_document_in_one_shuffle(spark, tmp_path, monkeypatch):
+    from carespan.queries import registry
+
+    t = registry.Inputs(spark, line_folder(spark, tmp_path))
+    kept = {}
+    monkeypatch.setattr(registry.Inputs, "stage_dealt", lambda self, name, by, build, buckets=None: kept.setdefault(name, build()))
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with many orders and parts
+    try:
+        lines = t._lines_by_document()
+        plan = lines._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange") == 4  # lines and parts by part, both sides by order
+        assert lines.count() == t._bound(registry.joined_and_rows(registry.BINDINGS["in_line"])[0]).count() > 100
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    # Lines of a hot order are not dealt.
+    monkeypatch.setattr(skew, "HOT_ROWS", 5)
+    monkeypatch.setattr(registry.Inputs, "_lines_by_document", lambda self: pytest.fail("dealt"))
+    assert registry.Inputs(spark, str(tmp_path)).in_line.count() == lines.count()
