@@ -228,3 +228,39 @@ def test_followup_is_the_earliest_event_after_any_discharge(spark):
     rows = [(p, d, "OFFICE_VISIT", "n", "1", None, str(i), "1", "N", d) for i, (p, d) in enumerate(events)]
     found = followup.first_event_after(first, followup.outpatient_events(spark.createDataFrame(rows, columns)))
     assert {r.RecipientID: r.EarliestServiceFromDt for r in found.collect()} == expected
+
+
+def test_sums_by_window_come_from_intervals_as_from_dense_rows(spark):
+    months = monthly(spark, random_costs(5))
+    people = [(f"p{i}", "Engaged" if i % 2 else None, "Low" if i % 3 else "High", "Male") for i in range(25)] + [("p1", "Enrolled", "Low", "Male")]
+    patients = spark.createDataFrame(people, "RecipientID string, Population_Type string, Program_Risk string, Gender string")
+    patients = patients.withColumns({"Diagnosis_Category": F.lit("x"), "Program_Age_Category": F.lit("0-1")})
+    by = ["Population_Type", "Gender", "Risk"]
+    keys = [*by, "Category_Type", "Category", "Window"]
+    dense = rolling.demo_inner(rolling.rolling_12(months), patients).groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("Rows"), F.sum("AdjustedPriceAmt").cast("decimal(38,2)").alias("AdjustedPriceAmt")
+    )
+    found = rolling.window_sums(rolling.demo_inner(rolling.rolling_12(months, dense=False), patients), months, by)
+    found = found.select(*dense.columns)
+    assert dense.count() > 100 and found.count() == dense.count()
+    assert found.exceptAll(dense).count() == 0
+
+
+def test_a_row_of_cells_is_made_before_its_windows_are_told_apart(spark):
+    def row(cells):
+        return {"text": F.array_join(cells["Category"], ";")}
+
+    made = rolling.rolling_cells(monthly(spark, random_costs(5)), rolling.measure_cell(), rolling.zero_cell, row)
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.index("sequence(start") < plan.index("array_join(")
+    whole = rolling.rolling_cells(monthly(spark, random_costs(5)), rolling.measure_cell(), rolling.zero_cell)
+    whole = whole.select("RecipientID", "Window", "Category_Type", F.array_join(F.col("cells.Category"), ";").alias("text"))
+    assert made.count() > 100 and made.exceptAll(whole).count() == 0 and whole.exceptAll(made).count() == 0
+
+
+def test_monthly_costs_lie_by_patient(spark):
+    from carespan.queries import costs
+    from carespan.queries.registry import Inputs
+
+    plan = costs.monthly(Inputs(spark, "/root/testdata/sf0.001"))._jdf.queryExecution().executedPlan().toString()
+    assert "monthly_sums" in plan and "Exchange" not in plan
