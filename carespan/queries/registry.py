@@ -137,7 +137,7 @@ class Inputs:
         if not self._has_hot_order():
             return self._lines_by_document()
         binding = BINDINGS[name]
-        return self.stage(name, lambda: self._bound(joined_and_rows(binding)[0], cast_columns(binding)))
+        return self.stage(f"{name}_as_it_lies", lambda: self._bound(joined_and_rows(binding)[0], cast_columns(binding)))
 
     def _has_hot_order(self) -> bool:
         """Whether an order may have HOT_ROWS lines; told by counts of hashes, so nothing is shuffled for it."""
@@ -178,7 +178,7 @@ class Inputs:
             return joined.select(line_key.alias("_DCN"), text(patient).alias("_RecipientID"), *columns)
 
         buckets = self.document_buckets()
-        return self.stage_dealt("in_line_by_document", ["_DCN"], build, buckets)
+        return self.stage_dealt("in_line", ["_DCN"], build, buckets)
 
     def _bound(self, binding: str, casts: dict[str, str] | None = None) -> DataFrame:
         used = {n: getattr(self, n) for n in re.findall(r"\{(\w+)\}", binding)}
